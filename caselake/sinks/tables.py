@@ -1,0 +1,317 @@
+"""Writing parquet tables, and the operators that replace a table's content.
+
+Every table is external, in a folder of its own below its database's
+location. A replacement is written completely under a new name first; then two
+metadata operations (drop the old entry, rename the new one) put it in place.
+So the data is written once, a job that fails half-way leaves the old table
+as it was, and readers that already run keep their files. The two metadata operations
+are not one transaction: a query that starts between them does not find the
+table, and concurrent writers of one table must be kept apart by the caller.
+"""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from caselake.session import remove_path, stage
+
+FILE_BYTES = 128 * 1024 * 1024
+# Up to this many touched partitions are listed as literals for static pruning.
+LISTED_PARTITIONS = 1000
+
+
+def _split(name: str) -> tuple[str, str]:
+    database, _, table = name.rpartition(".")
+    return database or "default", table
+
+
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
+def table_location(spark: SparkSession, name: str) -> str:
+    detail = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'")
+    return detail.first()["data_type"]
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def save_table(
+    df: DataFrame,
+    name: str,
+    mode: str = "overwrite",
+    partition_by: Sequence[str] = (),
+    rebalance: bool = False,
+    keep_previous: bool = True,
+) -> None:
+    """Write ``df`` as table ``name``; overwriting also replaces schema and partitioning.
+
+    ``df`` may read the table it replaces. ``rebalance`` adds one shuffle that
+    gathers each partition value's rows into files of the advisory size and
+    splits the large ones over several tasks; without it every task writes a
+    file for every partition value it sees. ``keep_previous=False`` deletes
+    the replaced files, which breaks readers that still use them.
+    """
+    spark = df.sparkSession
+    if rebalance:
+        df = df.hint("rebalance", *partition_by)
+    if mode == "append" and spark.catalog.tableExists(name):
+        df.write.mode("append").partitionBy(*partition_columns(spark, name)).saveAsTable(name)
+        return
+    if mode not in ("overwrite", "append"):
+        raise ValueError(f"mode must be 'overwrite' or 'append', not {mode!r}")
+    database, table = _split(name)
+    fresh = f"{table}__{uuid.uuid4().hex}"
+    root = spark.catalog.getDatabase(database).locationUri.rstrip("/")
+    writer = df.write.format("parquet").option("path", f"{root}/{fresh}")
+    writer.partitionBy(*partition_by).saveAsTable(f"{database}.{fresh}")
+    replaced = table_location(spark, name) if spark.catalog.tableExists(name) else None
+    spark.sql(f"DROP TABLE IF EXISTS {database}.{table}")
+    spark.sql(f"ALTER TABLE {database}.{fresh} RENAME TO {database}.{table}")
+    if replaced and not keep_previous:
+        remove_path(spark, replaced)
+
+
+def _same_key(left: str, right: str, keys: Sequence[str], null_safe: bool) -> Column:
+    pairs = [(F.col(f"{left}.{k}"), F.col(f"{right}.{k}")) for k in keys]
+    equal = [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]
+    return reduce(lambda a, b: a & b, equal)
+
+
+def merge_rows(
+    target: DataFrame,
+    updates: DataFrame,
+    keys: Sequence[str],
+    null_safe: bool = False,
+    delete_missing: bool = False,
+) -> DataFrame:
+    """Target rows whose key is not in ``updates``, and all of ``updates``.
+
+    With the default plain equality a NULL key matches nothing: the target's
+    row stays and the update is added beside it.
+    """
+    updates = _aligned(updates, target)
+    if delete_missing:
+        return updates
+    matched = _same_key("t", "u", keys, null_safe)
+    kept = target.alias("t").join(updates.select(*keys).alias("u"), matched, "left_anti")
+    return kept.unionByName(updates)
+
+
+def _aligned(updates: DataFrame, target: DataFrame) -> DataFrame:
+    return updates.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in target.schema])
+
+
+def merge_report(
+    target: DataFrame, updates: DataFrame, keys: Sequence[str], null_safe: bool = False
+) -> DataFrame:
+    """How many rows a merge inserts, updates, leaves unchanged and keeps unmatched."""
+    updates = _aligned(updates, target)
+    values = [c for c in target.columns if c not in keys]
+    old = target.withColumn("__old", F.lit(True)).alias("t")
+    new = updates.withColumn("__new", F.lit(True)).alias("u")
+    both = old.join(new, _same_key("t", "u", keys, null_safe), "full_outer")
+    same = reduce(
+        lambda a, b: a & b,
+        [F.col(f"t.{c}").eqNullSafe(F.col(f"u.{c}")) for c in values],
+        F.lit(True),
+    )
+    was, comes = F.col("__old").isNotNull(), F.col("__new").isNotNull()
+    return both.agg(
+        F.count_if(comes & ~was).alias("inserted"),
+        F.count_if(comes & was & ~same).alias("updated"),
+        F.count_if(comes & was & same).alias("unchanged"),
+        F.count_if(was & ~comes).alias("kept"),
+    )
+
+
+def _reject_repeated_keys(updates: DataFrame, keys: Sequence[str], null_safe: bool) -> None:
+    # Under plain equality a NULL key matches no row, so repeating it is no conflict.
+    rows = updates if null_safe else updates.dropna(subset=list(keys))
+    repeated = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
+    example = repeated.first()
+    if example is not None:
+        raise ValueError(f"several update rows share one key, for example {example.asDict()}")
+
+
+def upsert(
+    updates: DataFrame,
+    name: str,
+    keys: Sequence[str],
+    null_safe: bool = False,
+    delete_missing: bool = False,
+    only_changed: bool = False,
+    partition_by: Sequence[str] = (),
+    keep_previous: bool = True,
+) -> None:
+    """Create table ``name`` from ``updates``, or merge them in by ``keys``.
+
+    Matching rows are replaced whole, new keys are added, other rows stay
+    (unless ``delete_missing``). Two update rows with one key are an error,
+    raised before anything is written. ``only_changed`` leaves out update rows
+    that the table already holds, and writes nothing if none remains. Where
+    the keys cover the table's partition columns, only the partitions that
+    occur in ``updates`` are read and rewritten.
+    """
+    spark = updates.sparkSession
+    if not spark.catalog.tableExists(name):
+        save_table(updates, name, partition_by=partition_by)
+        return
+    target = spark.table(name)
+    updates = stage(_aligned(updates, target))
+    _reject_repeated_keys(updates, keys, null_safe)
+    if only_changed and not delete_missing:
+        updates = updates.alias("u").join(
+            target.alias("t"), _same_key("u", "t", target.columns, True), "left_anti"
+        )
+        if updates.isEmpty():
+            return
+    parts = partition_columns(spark, name)
+    if parts and set(parts) <= set(keys) and not delete_missing:
+        touched = _touched(target, updates, parts)
+        merged = stage(merge_rows(touched, updates, keys, null_safe))
+        with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+            merged.select(*target.columns).write.insertInto(name, overwrite=True)
+        return
+    merged = merge_rows(target, updates, keys, null_safe, delete_missing)
+    save_table(merged, name, partition_by=parts, keep_previous=keep_previous)
+
+
+def _touched(target: DataFrame, updates: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """Target rows in the partitions that occur in ``updates``."""
+    values = updates.select(*parts).distinct()
+    listed = values.limit(LISTED_PARTITIONS + 1).collect()
+    if len(listed) > LISTED_PARTITIONS:
+        matched = _same_key("t", "p", parts, True)
+        return target.alias("t").join(values.alias("p"), matched, "left_semi")
+    one_of = [
+        reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(row[c])) for c in parts]) for row in listed
+    ]
+    return target.filter(reduce(lambda a, b: a | b, one_of, F.lit(False)))
+
+
+def compact_table(
+    spark: SparkSession, name: str, file_bytes: int = FILE_BYTES, keep_previous: bool = True
+) -> None:
+    """Rewrite a table into files of about ``file_bytes``; rows and schema stay.
+
+    One read, one shuffle, one write. The rebalance gathers small partitions
+    and splits large ones by measured size, so one huge partition value is
+    spread over many tasks.
+    """
+    with _setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", str(file_bytes)):
+        save_table(
+            spark.table(name),
+            name,
+            partition_by=partition_columns(spark, name),
+            rebalance=True,
+            keep_previous=keep_previous,
+        )
+
+
+def file_sizes(spark: SparkSession, name: str) -> DataFrame:
+    """Path, bytes and rows of each non-empty file; reads row counts, no column data."""
+    source = spark.table(name).select("_metadata.file_path", "_metadata.file_size")
+    return source.groupBy("file_path", "file_size").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def table_detail(spark: SparkSession, name: str) -> DataFrame:
+    """One row: name, location, partition columns, files, bytes, rows."""
+    parts = F.array(*[F.lit(c) for c in partition_columns(spark, name)]).cast("array<string>")
+    return file_sizes(spark, name).agg(
+        F.lit(name).alias("name"),
+        F.lit("parquet").alias("format"),
+        F.lit(table_location(spark, name)).alias("location"),
+        parts.alias("partition_columns"),
+        F.count(F.lit(1)).alias("num_files"),
+        F.coalesce(F.sum("file_size"), F.lit(0)).alias("size_in_bytes"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("num_rows"),
+    )
+
+
+def _range_bounds(df: DataFrame, column: str, buckets: int) -> list:
+    """Upper bounds of ``buckets`` ranges with about equally many distinct values.
+
+    Works for any orderable type: the distinct values are range-partitioned
+    and each partition reports its largest one, so at most ``buckets`` values
+    reach the driver, however many the column has.
+    """
+    distinct = df.select(column).dropna().distinct()
+    ranged = distinct.repartitionByRange(buckets, column).select(column, F.spark_partition_id().alias("part"))
+    tops = ranged.groupBy("part").agg(F.max(column).alias("top")).collect()
+    return sorted(row["top"] for row in tops)
+
+
+def _leaf_of(column: Column, bounds: Sequence, leaves: Sequence[int]) -> Column:
+    """``leaves[i]`` for the range ``column`` falls in (NULL: the first), by a balanced decision tree."""
+    if len(bounds) <= 1:
+        return F.lit(leaves[0]).cast("bigint")
+    middle = len(bounds) // 2
+    above = column > F.lit(bounds[middle - 1])
+    return F.when(above, _leaf_of(column, bounds[middle:], leaves[middle:])).otherwise(
+        _leaf_of(column, bounds[:middle], leaves[:middle])
+    )
+
+
+def _spread(number: int, bits: int, stride: int, offset: int) -> int:
+    return sum((number >> bit & 1) << (bit * stride + offset) for bit in range(bits))
+
+
+def z_value(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
+    """Bit-interleaved range numbers of ``columns``: near in all columns means near in value.
+
+    A range number is a constant once its bounds are known, so its bits are
+    spread here and the rows only run comparisons and one ``|`` per column.
+    """
+    z = F.lit(0).cast("bigint")
+    for offset, name in enumerate(columns):
+        bounds = _range_bounds(df, name, 2**bits)
+        leaves = [_spread(i, bits, len(columns), offset) for i in range(max(1, len(bounds)))]
+        z = z.bitwiseOR(_leaf_of(F.col(name), bounds, leaves))
+    return z
+
+
+def cluster_table(
+    spark: SparkSession,
+    name: str,
+    columns: Sequence[str],
+    file_bytes: int = FILE_BYTES,
+    files: int | None = None,
+    keep_previous: bool = True,
+) -> None:
+    """Rewrite a table so that rows close in ``columns`` share files; rows stay.
+
+    One column is range-partitioned and sorted as is; several go through
+    :func:`z_value`. The row's file position ends the range key: it lets rows
+    with equal clustering values, however many, spread over several tasks,
+    and it is the same when a lost task runs again. The range partitioner
+    samples its input, so the table is read twice.
+    """
+    table = spark.table(name)
+    parts = partition_columns(spark, name)
+    if files is None:
+        total = table_detail(spark, name).first()["size_in_bytes"]
+        files = max(1, -(-total // file_bytes))
+    place = F.col(columns[0]) if len(columns) == 1 else z_value(table, columns)
+    position = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    keyed = table.withColumns({"__place": place, "__position": position})
+    ranged = keyed.repartitionByRange(files, *parts, "__place", "__position")
+    arranged = ranged.sortWithinPartitions(*parts, "__place", *columns).select(*table.columns)
+    save_table(arranged, name, partition_by=parts, keep_previous=keep_previous)
