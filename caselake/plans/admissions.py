@@ -10,6 +10,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Declared, so that planning needs no job to read file footers.
+_SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+
 def _pick(number: Column, choices: dict[int, str | None], default: str | None) -> Column:
     picked = F.lit(default).cast("string")
     for value, text in choices.items():
@@ -22,7 +32,7 @@ def admissions_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     join with customers is left to the optimizer (broadcast by measured size,
     else sort-merge with skew splitting)."""
     orders, customer, nation, region = (
-        spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("orders", "customer", "nation", "region")
+        spark.read.schema(columns).parquet(f"{sf_dir}/{table}.parquet") for table, columns in _SCHEMAS.items()
     )
     joined = (
         orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
@@ -40,7 +50,8 @@ def admissions_once(spark: SparkSession, sf_dir: str) -> DataFrame:
         _pick(person % 7, {0: " jr.", 1: " III"}, ""),
         F.lit(" "),
     )
-    left_on = F.col("o_orderdate") + F.make_dt_interval((key % 40 - 2).cast("int"))
+    came_on = F.col("o_orderdate").cast("date")
+    left_on = F.date_add(came_on, (key % 40 - 2).cast("int"))
     charge = F.col("o_totalprice").cast("decimal(18,2)")
     return joined.select(
         key.alias("admission_id"),
@@ -49,11 +60,11 @@ def admissions_once(spark: SparkSession, sf_dir: str) -> DataFrame:
         _pick(person % 7, {0: "M", 1: " male", 2: "F", 3: "Female ", 4: "", 6: "x"}, None).alias("gender"),
         _pick(person % 6, {0: " a+", 1: "O-", 2: "ab+ ", 3: "  ", 5: "B-"}, None).alias("blood_type"),
         F.col("c_mktsegment").alias("medical_condition"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_of_admission"),
+        came_on.cast("string").alias("date_of_admission"),
         F.when(key % 101 == 0, "2024-13-01")
         .when(key % 103 == 0, F.lit(None).cast("string"))
         .when(key % 50 == 0, "2099-01-01")
-        .otherwise(F.date_format(left_on, "yyyy-MM-dd"))
+        .otherwise(left_on.cast("string"))
         .alias("discharge_date"),
         F.concat("n_name", F.lit(" & Co., #"), (person % 10).cast("string")).alias("hospital"),
         F.when(person % 11 != 0, F.col("r_name")).alias("insurance_provider"),

@@ -55,15 +55,20 @@ def condition_core(base: DataFrame) -> DataFrame:
 
 def condition_summary(base: DataFrame, ties: str = "all") -> DataFrame:
     """Metrics and most common admission type per condition, reading the base once."""
-    keys = [*K.CONDITION_KEYS, ADMISSION_TYPE]
-    cells = S.segment_cells(base, keys, CONDITION_MEASURES)
-    # Two branches read the cells below when ties are kept; without a written
-    # copy each would scan and aggregate the base again.
-    return condition_summary_from_cells(stage(cells) if ties == "all" else cells, ties)
+    cells = S.segment_cells(base, [*K.CONDITION_KEYS, ADMISSION_TYPE], CONDITION_MEASURES)
+    # With ties kept, two branches read the cells; without a written copy each
+    # would scan and aggregate the base again.
+    return _condition_marts(stage(cells) if ties == "all" else cells, ties)
 
 
 def condition_summary_from_cells(cells: DataFrame, ties: str = "all") -> DataFrame:
-    """Condition summary from finer cells.
+    """Condition summary from cells of any finer grain."""
+    keys = [*K.CONDITION_KEYS, ADMISSION_TYPE]
+    return _condition_marts(S.merge_cells(cells, keys, CONDITION_MEASURES), ties)
+
+
+def _condition_marts(cells: DataFrame, ties: str) -> DataFrame:
+    """Condition summary from one cell per condition and admission type.
 
     ``ties="all"`` gives a condition one row per value that shares the top
     count, ``"first"`` the lowest value only. The NULL condition never has a
@@ -71,15 +76,12 @@ def condition_summary_from_cells(cells: DataFrame, ties: str = "all") -> DataFra
     """
     keys = list(K.CONDITION_KEYS)
     if ties == "first":
-        counts = S.merge_cells(cells, [*keys, ADMISSION_TYPE], CONDITION_MEASURES)
         best = S.most_frequent_struct(ADMISSION_TYPE).alias("__best")
-        merged = S.merge_cells(counts, keys, CONDITION_MEASURES, best)
+        merged = S.merge_cells(cells, keys, CONDITION_MEASURES, best)
         known = F.when(F.col(keys[0]).isNotNull(), F.col("__best.value")).alias(MODE)
         return S.finish(merged, keys, CONDITION_MEASURES, known)
-    counts = S.merge_cells(cells, [*keys, ADMISSION_TYPE], [S.row_count("patients")])
-    modes = S.mode_from_counts(counts, keys, ADMISSION_TYPE, S.ROWS, MODE, ties)
-    metrics = S.summary_from_cells(cells, keys, CONDITION_MEASURES)
-    return metrics.join(modes, keys, "left")
+    modes = S.mode_from_counts(cells, keys, ADMISSION_TYPE, S.ROWS, MODE, ties)
+    return S.summary_from_cells(cells, keys, CONDITION_MEASURES).join(modes, keys, "left")
 
 
 def billing_summary(base: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ table, and concurrent writers of one table must be kept apart by the caller.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from functools import reduce
 
@@ -41,16 +41,26 @@ def table_location(spark: SparkSession, name: str) -> str:
 
 
 @contextmanager
-def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
+def _settings(spark: SparkSession, wanted: Mapping[str, str]) -> Iterator[None]:
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def _sized_for(file_bytes: int) -> dict[str, str]:
+    """Let a rebalance aim at ``file_bytes`` per task, rather than at many tasks."""
+    return {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(file_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
 
 
 def save_table(
@@ -60,11 +70,12 @@ def save_table(
     partition_by: Sequence[str] = (),
     rebalance: bool = False,
     keep_previous: bool = True,
+    file_bytes: int = FILE_BYTES,
 ) -> None:
     """Write ``df`` as table ``name``; overwriting also replaces schema and partitioning.
 
     ``df`` may read the table it replaces. ``rebalance`` adds one shuffle that
-    gathers each partition value's rows into files of the advisory size and
+    gathers each partition value's rows into files of about ``file_bytes`` and
     splits the large ones over several tasks; without it every task writes a
     file for every partition value it sees. ``keep_previous=False`` deletes
     the replaced files, which breaks readers that still use them.
@@ -72,11 +83,17 @@ def save_table(
     spark = df.sparkSession
     if rebalance:
         df = df.hint("rebalance", *partition_by)
-    if mode == "append" and spark.catalog.tableExists(name):
-        df.write.mode("append").partitionBy(*partition_columns(spark, name)).saveAsTable(name)
-        return
     if mode not in ("overwrite", "append"):
         raise ValueError(f"mode must be 'overwrite' or 'append', not {mode!r}")
+    with _settings(spark, _sized_for(file_bytes) if rebalance else {}):
+        if mode == "append" and spark.catalog.tableExists(name):
+            df.write.mode("append").partitionBy(*partition_columns(spark, name)).saveAsTable(name)
+        else:
+            _write_and_swap(df, name, partition_by, keep_previous)
+
+
+def _write_and_swap(df: DataFrame, name: str, partition_by: Sequence[str], keep_previous: bool) -> None:
+    spark = df.sparkSession
     database, table = _split(name)
     fresh = f"{table}__{uuid.uuid4().hex}"
     root = spark.catalog.getDatabase(database).locationUri.rstrip("/")
@@ -187,7 +204,7 @@ def upsert(
     if parts and set(parts) <= set(keys) and not delete_missing:
         touched = _touched(target, updates, parts)
         merged = stage(merge_rows(touched, updates, keys, null_safe))
-        with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        with _settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
             merged.select(*target.columns).write.insertInto(name, overwrite=True)
         return
     merged = merge_rows(target, updates, keys, null_safe, delete_missing)
@@ -216,14 +233,14 @@ def compact_table(
     and splits large ones by measured size, so one huge partition value is
     spread over many tasks.
     """
-    with _setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", str(file_bytes)):
-        save_table(
-            spark.table(name),
-            name,
-            partition_by=partition_columns(spark, name),
-            rebalance=True,
-            keep_previous=keep_previous,
-        )
+    save_table(
+        spark.table(name),
+        name,
+        partition_by=partition_columns(spark, name),
+        rebalance=True,
+        keep_previous=keep_previous,
+        file_bytes=file_bytes,
+    )
 
 
 def file_sizes(spark: SparkSession, name: str) -> DataFrame:
@@ -309,7 +326,9 @@ def cluster_table(
     if files is None:
         total = table_detail(spark, name).first()["size_in_bytes"]
         files = max(1, -(-total // file_bytes))
-    place = F.col(columns[0]) if len(columns) == 1 else z_value(table, columns)
+    # A table of one file is only sorted; there is nothing to lay out.
+    several = len(columns) > 1 and files > 1
+    place = z_value(table, columns) if several else F.col(columns[0])
     position = F.xxhash64("_metadata.file_path", "_metadata.row_index")
     keyed = table.withColumns({"__place": place, "__position": position})
     ranged = keyed.repartitionByRange(files, *parts, "__place", "__position")

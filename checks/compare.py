@@ -21,6 +21,7 @@ def local_session(cores: str = "8", **settings: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in settings.items():
         builder = builder.config(key, value)
