@@ -178,14 +178,21 @@ def roll_up_sum(summary: DataFrame, keys: Sequence[str], column: str, alias: str
 def roll_up_mean(
     summary: DataFrame, keys: Sequence[str], column: str, alias: str, digits: int = 2, weight: str | None = None
 ) -> DataFrame:
-    """Average of segment averages; every segment counts once unless ``weight`` names its size."""
-    value = F.col(column).cast("double")
+    """Average of segment averages; every segment counts once unless ``weight`` names its size.
+
+    Values are taken to six places as decimals, also where they come as
+    doubles: decimal sums do not depend on the order rows arrive in, so an
+    exact half rounds the same way in every run.
+    """
+    value = F.col(column).cast("decimal(22,6)")
     if weight is None:
         average = F.avg(value)
     else:
         size = F.when(value.isNotNull(), F.col(weight))
         average = F.try_divide(F.sum(value * size), F.sum(size))
-    return summary.groupBy(*keys).agg(F.round(average, digits).alias(alias))
+    exact = dict(summary.dtypes)[column].startswith("decimal")
+    rounded = F.round(average, digits).cast(f"decimal(18,{digits})" if exact else "double")
+    return summary.groupBy(*keys).agg(rounded.alias(alias))
 
 
 def top_rows(df: DataFrame, by: str, tie_break: Sequence[str], n: int = 1) -> DataFrame:

@@ -29,6 +29,29 @@ def _strip_titles(x: str) -> str:
     return f"array_to_string(list_filter(string_split_regex({x}, '\\s+'), {keep}), ' ')"
 
 
+# Spark rounds decimals and decimal forms of doubles half up; DuckDB's round() works on
+# the binary double and may miss an exact half. So averages are stated in integers:
+# floor((2 * scale * total + n) / (2 * n)) is total / n, rounded half up, in units of 1 / scale.
+def _half_up(total: str, n: str, scale: int) -> str:
+    return f"((2 * {scale} * cast({total} AS hugeint) + {n}) // (2 * {n}))"
+
+
+def _average(column: str, digits: int) -> str:
+    scale = 10**digits
+    return f"cast({_half_up(f'sum({column})', f'count({column})', scale)} AS double) / {scale}"
+
+
+def _money_average(column: str) -> str:
+    cents = _half_up(f"(sum({column}) * 100)", f"count({column})", 1)
+    return f"cast(cast({cents} AS decimal(18,0)) * cast(0.01 AS decimal(3,2)) AS decimal(18,2))"
+
+
+def _percent(condition: str) -> str:
+    return f"cast({_half_up(f'count(*) FILTER ({condition})', 'count(*)', 10000)} AS double) / 100"
+
+
+ABNORMAL = "test_results = 'Abnormal'"
+
 ADM_ONCE = """
 adm_once AS (
   SELECT o_orderkey AS admission_id,
@@ -121,14 +144,13 @@ silver AS (
 )"""
 BASE = "base AS (SELECT * FROM silver WHERE dq_passed)"
 
-_CONDITION_METRICS = """
+_CONDITION_METRICS = f"""
   count(*) AS total_patients,
-  round(avg(length_of_stay_days), 2) AS avg_length_of_stay_days,
+  {_average('length_of_stay_days', 2)} AS avg_length_of_stay_days,
   max(length_of_stay_days) AS max_length_of_stay_days,
-  cast(round(avg(billing_amount), 2) AS decimal(18,2)) AS avg_billing_amount,
+  {_money_average('billing_amount')} AS avg_billing_amount,
   cast(sum(billing_amount) AS decimal(28,2)) AS total_billing_amount,
-  round(sum(CASE WHEN test_results = 'Abnormal' THEN 1 ELSE 0 END) * cast(100 AS double) / count(*), 2)
-    AS abnormal_test_rate_pct"""
+  {_percent(ABNORMAL)} AS abnormal_test_rate_pct"""
 
 
 def condition_core(source: str) -> str:
@@ -151,19 +173,18 @@ def billing_mart(source: str) -> str:
     return f"""
       SELECT insurance_provider, age_group, medical_condition, count(*) AS total_patients,
         cast(sum(billing_amount) AS decimal(28,2)) AS total_billing_amount,
-        cast(round(avg(billing_amount), 2) AS decimal(18,2)) AS avg_billing_amount,
+        {_money_average('billing_amount')} AS avg_billing_amount,
         min(billing_amount) AS min_billing_amount, max(billing_amount) AS max_billing_amount
       FROM {source} GROUP BY insurance_provider, age_group, medical_condition"""
 
 
 def demographics_mart(source: str) -> str:
     return f"""
-      SELECT age_group, gender, medical_condition, count(*) AS total_patients, round(avg(age), 1) AS avg_age,
-        round(avg(length_of_stay_days), 2) AS avg_length_of_stay_days,
-        cast(round(avg(billing_amount), 2) AS decimal(18,2)) AS avg_billing_amount,
+      SELECT age_group, gender, medical_condition, count(*) AS total_patients, {_average('age', 1)} AS avg_age,
+        {_average('length_of_stay_days', 2)} AS avg_length_of_stay_days,
+        {_money_average('billing_amount')} AS avg_billing_amount,
         cast(sum(billing_amount) AS decimal(28,2)) AS total_billing_amount,
-        round(sum(CASE WHEN test_results = 'Abnormal' THEN 1 ELSE 0 END) * cast(100 AS double) / count(*), 2)
-          AS abnormal_test_rate_pct
+        {_percent(ABNORMAL)} AS abnormal_test_rate_pct
       FROM {source} GROUP BY age_group, gender, medical_condition"""
 
 
@@ -242,7 +263,8 @@ def oracle_sql() -> dict[str, str]:
         return f"SELECT {key}, {how.format(column)} AS {alias} FROM ({mart}) GROUP BY {key}"
 
     total, money = "cast(sum({}) AS bigint)", "cast(sum({}) AS decimal(38,2))"
-    plain_mean = "round(avg(cast({} AS double)), 2)"
+    money_mean = _money_average("{0}")
+    pct_mean = f"cast({_half_up('(sum(cast({0} AS decimal(18,2))) * 100)', 'count({0})', 1)} AS double) / 100"
 
     sql = {
         # sources
@@ -380,8 +402,8 @@ def oracle_sql() -> dict[str, str]:
         "condition_summary_core": over("base", condition_core("base")),
         "agg_avg_rounded": over(
             "base",
-            "SELECT medical_condition, round(avg(age), 1) AS avg_age, "
-            "cast(round(avg(billing_amount), 2) AS decimal(18,2)) AS avg_billing_amount "
+            f"SELECT medical_condition, {_average('age', 1)} AS avg_age, "
+            f"{_money_average('billing_amount')} AS avg_billing_amount "
             "FROM base GROUP BY medical_condition",
         ),
         "agg_min_max": over(
@@ -402,13 +424,12 @@ def oracle_sql() -> dict[str, str]:
         ),
         "agg_abnormal_rate_pct": over(
             "base",
-            "SELECT hospital, round(count(*) FILTER (test_results = 'Abnormal') * cast(100 AS double) / count(*), 2) "
-            "AS abnormal_test_rate_pct FROM base GROUP BY hospital",
+            f"SELECT hospital, {_percent(ABNORMAL)} AS abnormal_test_rate_pct FROM base GROUP BY hospital",
         ),
         "rollup_sum_of_sums": over(
             "base", roll_up(money, billing, "medical_condition", "total_billing_amount", "condition_total")
         ),
-        "rollup_avg_of_avgs": over("base", roll_up(plain_mean, billing, "age_group", "avg_billing_amount", "avg_bill")),
+        "rollup_avg_of_avgs": over("base", roll_up(money_mean, billing, "age_group", "avg_billing_amount", "avg_bill")),
         # mode, window, join
         "mode_ties_all": over(
             "base",
@@ -466,7 +487,7 @@ def oracle_sql() -> dict[str, str]:
             ),
         ),
         "top1_age_group_avg_billing": over(
-            "base", _top(roll_up(plain_mean, billing, "age_group", "avg_billing_amount", "avg_bill"), "avg_bill", "age_group")
+            "base", _top(roll_up(money_mean, billing, "age_group", "avg_billing_amount", "avg_bill"), "avg_bill", "age_group")
         ),
         "top1_condition_total": over(
             "base",
@@ -480,12 +501,12 @@ def oracle_sql() -> dict[str, str]:
             "base", _top(roll_up(total, demographics, "age_group", "total_patients", "total"), "total", "age_group")
         ),
         "top1_gender_avg_billing": over(
-            "base", _top(roll_up(plain_mean, demographics, "gender", "avg_billing_amount", "avg_bill"), "avg_bill", "gender")
+            "base", _top(roll_up(money_mean, demographics, "gender", "avg_billing_amount", "avg_bill"), "avg_bill", "gender")
         ),
         "top1_condition_abnormal_segments": over(
             "base",
             _top(
-                roll_up(plain_mean, demographics, "medical_condition", "abnormal_test_rate_pct", "avg_abnormal"),
+                roll_up(pct_mean, demographics, "medical_condition", "abnormal_test_rate_pct", "avg_abnormal"),
                 "avg_abnormal",
                 "medical_condition",
             ),

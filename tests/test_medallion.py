@@ -1,0 +1,106 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from caselake.plans import gold, medallion, silver
+from caselake.session import fresh_path, shared_dir
+
+HEADER = (
+    "Name,Age,Gender,Blood Type,Medical Condition,Date of Admission,Discharge Date,Hospital,"
+    "Insurance Provider,Billing Amount,Room Number,Admission Type,Medication,Test Results\n"
+)
+ROWS = [
+    "dr. anna m lee,34,Female,a+,Asthma,2024-01-01,2024-01-05,St. Mary's,Blue,100.50,12,Urgent,Aspirin,Abnormal",
+    "BOB JONES jr.,70,M,O-,Asthma,2024-01-02,2024-01-04,City & Co.,,50.25,7,Elective,,Normal",
+    "carl x,17,,,Diabetes,2024-02-01,2024-02-02,City,Blue,10,3,Urgent,Aspirin,",
+    "mr.,50,x,B-,Diabetes,2024-02-01,2024-02-02,City,Blue,10,3,Urgent,Aspirin,Normal",
+    "eve late,20,F,B-,,2024-03-05,2024-03-01,City,Red,10,4,Urgent,Aspirin,Normal",
+    "nil cond,40,F,B-,,2024-03-05,2024-03-06,City,Red,10,4,Urgent,Aspirin,Normal",
+]
+
+
+@pytest.fixture
+def layout(spark, database):
+    names = {layer: f"{database}_{layer}" for layer in ("bronze", "silver", "gold")}
+    return medallion.Layout(**names, root=f"{shared_dir(spark)}/{database}_root")
+
+
+def feed(folder, rows):
+    folder.mkdir()
+    (folder / "feed.csv").write_text(HEADER + "\n".join(rows) + "\n")
+    return str(folder)
+
+
+def marts(spark, layout):
+    return {n: sorted(map(repr, spark.table(layout.mart(n)).collect())) for n in gold.MART_KEYS}
+
+
+def test_a_fresh_run(spark, layout, tmp_path):
+    medallion.refresh(spark, feed(tmp_path / "a", [*ROWS, ROWS[0]]), layout)
+    raw = spark.table(layout.raw_table)
+    assert raw.count() == 7 and raw.select("_batch_id").distinct().count() == 1
+    assert dict(raw.dtypes)["age"] == "int" and dict(raw.dtypes)["date_of_admission"] == "date"
+    clean = spark.table(layout.clean_table)
+    assert clean.count() == 6 and "NameTokens" not in clean.columns
+    anna = clean.filter("LastName = 'Lee'").first()
+    assert (anna["name"], anna.FirstName, anna.MiddleName) == ("Dr. Anna M Lee", "Anna", "M")
+    assert (anna.hospital, anna.gender, anna.blood_type) == ("St Marys", "F", "A+")
+    assert (anna.age_group, anna.length_of_stay_days, anna.dq_passed) == ("Young Adult", 4, True)
+    bob = clean.filter("LastName = 'Jones'").first()
+    assert (bob.insurance_provider, bob.medication) == ("Unknown", "Not Prescribed")
+    assert clean.filter("dq_passed").count() == 4
+    condition = {r.medical_condition: r for r in spark.table(layout.mart("condition_summary")).collect()}
+    assert set(condition) == {"Asthma", "Diabetes", None}
+    assert condition["Asthma"].total_patients == 2
+    assert float(condition["Asthma"].avg_billing_amount) == 75.38
+    assert condition["Asthma"].abnormal_test_rate_pct == 50.0
+    assert condition["Asthma"].most_common_admission_type == "Elective"
+    assert condition[None].most_common_admission_type is None
+
+
+def test_sending_a_batch_again_changes_no_mart(spark, layout, tmp_path):
+    source = feed(tmp_path / "a", ROWS)
+    medallion.refresh(spark, source, layout, schema="string", mode="append", batch_id="1")
+    before, clean = marts(spark, layout), spark.table(layout.clean_table)
+    hashes = sorted(r[0] for r in clean.select("_record_hash").collect())
+    medallion.refresh(spark, source, layout, schema="string", mode="append", batch_id="2")
+    assert spark.table(layout.raw_table).count() == 2 * len(ROWS)
+    again = spark.table(layout.clean_table)
+    assert sorted(r[0] for r in again.select("_record_hash").collect()) == hashes
+    assert {r[0] for r in again.select("_batch_id").distinct().collect()} == {"1"}
+    assert marts(spark, layout) == before
+
+
+def test_a_second_batch_updates_and_adds_groups(spark, layout, tmp_path):
+    medallion.refresh(spark, feed(tmp_path / "a", ROWS[:2]), layout, schema="string", mode="append")
+    medallion.refresh(spark, feed(tmp_path / "b", ROWS[2:]), layout, schema="string", mode="append")
+    condition = {r.medical_condition: r.total_patients for r in spark.table(layout.mart("condition_summary")).collect()}
+    assert condition == {"Asthma": 2, "Diabetes": 1, None: 1}
+    reports = medallion.reports(spark, layout)
+    assert tuple(reports["dedupe"].first()) == (6, 6, 0)
+    assert tuple(reports["exclusion"].first()) == (6, 4, 2)
+    passed = reports["quality"].filter("rule = 'dq_passed'").first()
+    assert (passed.passed, passed.failed, passed.passed_pct) == (4, 2, 66.7)
+
+
+def test_groups_that_vanish_stay(spark, layout, tmp_path):
+    medallion.refresh(spark, feed(tmp_path / "a", ROWS), layout)
+    medallion.refresh(spark, feed(tmp_path / "b", ROWS[:2]), layout)
+    kept = {r.medical_condition for r in spark.table(layout.mart("condition_summary")).collect()}
+    assert kept == {"Asthma", "Diabetes", None}
+
+
+def test_silver_schema(spark, layout, tmp_path):
+    medallion.refresh(spark, feed(tmp_path / "a", ROWS), layout, cluster=False)
+    types = dict(spark.table(layout.clean_table).dtypes)
+    assert types["age"] == types["room_number"] == types["length_of_stay_days"] == "int"
+    assert types["billing_amount"] == "decimal(18,2)" and types["discharge_date"] == "date"
+    assert {types[f] for f in silver.DQ_FLAGS} == {"boolean"}
+    parts = [c.name for c in spark.catalog.listColumns(layout.clean_table) if c.isPartition]
+    assert parts == ["_ingest_date", "medical_condition"]
+
+
+def test_shared_dir_comes_from_the_session(spark):
+    assert fresh_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert spark.range(1).select(F.lit(1)).count() == 1
