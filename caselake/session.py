@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,10 +39,22 @@ def stage(df: DataFrame) -> DataFrame:
     plan runs once (an RDD checkpoint evaluates its last stage twice) and
     readers keep column pruning.
     """
-    spark = df.sparkSession
-    path = fresh_path(spark, "stage")
+    return _written(df, fresh_path(df.sparkSession, "stage"))
+
+
+@contextmanager
+def staged(df: DataFrame) -> Iterator[DataFrame]:
+    """:func:`stage` for results that are consumed inside the block; the files go with it."""
+    path = fresh_path(df.sparkSession, "stage")
+    try:
+        yield _written(df, path)
+    finally:
+        remove_path(df.sparkSession, path)
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def remove_path(spark: SparkSession, uri: str) -> None:

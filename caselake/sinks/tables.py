@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caselake.session import remove_path, stage
+from caselake.session import remove_path, staged
 
 FILE_BYTES = 128 * 1024 * 1024
 # Up to this many touched partitions are listed as literals for static pruning.
@@ -192,23 +192,28 @@ def upsert(
         save_table(updates, name, partition_by=partition_by)
         return
     target = spark.table(name)
-    updates = stage(_aligned(updates, target))
-    _reject_repeated_keys(updates, keys, null_safe)
-    if only_changed and not delete_missing:
-        updates = updates.alias("u").join(
-            target.alias("t"), _same_key("u", "t", target.columns, True), "left_anti"
-        )
-        if updates.isEmpty():
-            return
-    parts = partition_columns(spark, name)
-    if parts and set(parts) <= set(keys) and not delete_missing:
-        touched = _touched(target, updates, parts)
-        merged = stage(merge_rows(touched, updates, keys, null_safe))
-        with _settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
-            merged.select(*target.columns).write.insertInto(name, overwrite=True)
-        return
-    merged = merge_rows(target, updates, keys, null_safe, delete_missing)
-    save_table(merged, name, partition_by=parts, keep_previous=keep_previous)
+    with staged(_aligned(updates, target)) as fixed:
+        _reject_repeated_keys(fixed, keys, null_safe)
+        if only_changed and not delete_missing:
+            same = _same_key("u", "t", target.columns, True)
+            fixed = fixed.alias("u").join(target.alias("t"), same, "left_anti")
+            if fixed.isEmpty():
+                return
+        parts = partition_columns(spark, name)
+        if parts and set(parts) <= set(keys) and not delete_missing:
+            touched = _touched(target, fixed, parts)
+            with staged(merge_rows(touched, fixed, keys, null_safe)) as merged:
+                _overwrite_partitions(merged.select(*target.columns), name, parts)
+        else:
+            merged = merge_rows(target, fixed, keys, null_safe, delete_missing)
+            save_table(merged, name, partition_by=parts, keep_previous=keep_previous)
+
+
+def _overwrite_partitions(df: DataFrame, name: str, parts: Sequence[str]) -> None:
+    """Replace the partitions that occur in ``df`` and no others."""
+    settings = {"spark.sql.sources.partitionOverwriteMode": "dynamic", **_sized_for(FILE_BYTES)}
+    with _settings(df.sparkSession, settings):
+        df.hint("rebalance", *parts).write.insertInto(name, overwrite=True)
 
 
 def _touched(target: DataFrame, updates: DataFrame, parts: Sequence[str]) -> DataFrame:

@@ -547,5 +547,6 @@ def oracle_sql() -> dict[str, str]:
         "cluster_zorder_two_cols": over("silver", "SELECT * EXCLUDE (_ingested_at) FROM silver"),
         # layers
         "medallion_end_to_end": over("base", condition_mart("base", "first")),
+        "medallion_incremental": over("base", condition_mart("base", "first")),
     }
     return sql

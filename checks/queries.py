@@ -51,9 +51,13 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _feed(spark: SparkSession, sf_dir: str) -> str:
-    """The admissions as headed CSV files in the shared folder."""
-    path = f"{fresh_path(spark, 'csv')}/feed"
-    writer = admissions(spark, sf_dir).write.option("header", True)
+    return _csv(admissions(spark, sf_dir))
+
+
+def _csv(df: DataFrame) -> str:
+    """``df`` as headed CSV files in the shared folder."""
+    path = f"{fresh_path(df.sparkSession, 'csv')}/feed"
+    writer = df.write.option("header", True)
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return path
 
@@ -587,6 +591,28 @@ def medallion_end_to_end(spark, sf_dir):
     return spark.table(layout.mart("condition_summary"))
 
 
+@query
+def medallion_incremental(spark, sf_dir):
+    """Two loads by admission date, the second one sent twice; only new batches are refined."""
+    database = scratch_database(spark)
+    layout = medallion.Layout(bronze=database, silver=database, gold=database, keep_previous=False)
+    early = F.col("date_of_admission") < FIRST_LOAD_BEFORE
+    rows = admissions(spark, sf_dir)
+    for batch, load in (("1", rows.filter(early)), ("2", rows.filter(~early)), ("3", rows.filter(~early))):
+        medallion.refresh(
+            spark,
+            _csv(load),
+            layout,
+            cluster=False,
+            incremental=True,
+            schema="string",
+            mode="append",
+            batch_id=batch,
+            ingested_at=_ingested_at(),
+        )
+    return spark.table(layout.mart("condition_summary"))
+
+
 @cache
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)

@@ -84,6 +84,27 @@ def test_a_second_batch_updates_and_adds_groups(spark, layout, tmp_path):
     assert (passed.passed, passed.failed, passed.passed_pct) == (4, 2, 66.7)
 
 
+def test_incremental_batches_equal_a_full_refresh(spark, layout, tmp_path):
+    options = {"schema": "string", "mode": "append", "cluster": False}
+    one, two = feed(tmp_path / "a", ROWS[:3]), feed(tmp_path / "b", [ROWS[1], *ROWS[3:], ROWS[4]])
+    for batch, source in (("1", one), ("2", two), ("3", two)):
+        medallion.refresh(spark, source, layout, incremental=True, batch_id=batch, **options)
+    columns = [c for c in spark.table(layout.clean_table).columns]
+    added = sorted(map(repr, spark.table(layout.clean_table).collect()))
+    medallion.refine(spark, layout)
+    full = spark.table(layout.clean_table).select(*columns)
+    assert sorted(map(repr, full.collect())) == added
+    assert full.groupBy("_batch_id").count().count() == 2
+
+
+def test_a_batch_reads_only_its_rows_and_known_hashes(spark, layout, tmp_path):
+    medallion.refresh(spark, feed(tmp_path / "a", ROWS), layout, schema="string", cluster=False)
+    batch = spark.table(layout.raw_table).filter(F.col("_batch_id") == "x")
+    known = spark.table(layout.clean_table).select("_record_hash")
+    text = silver.to_silver(batch).join(known, "_record_hash", "left_anti")._jdf.queryExecution().toString()
+    assert "EqualTo(_batch_id,x)" in text and "ReadSchema: struct<_record_hash:string>" in text
+
+
 def test_groups_that_vanish_stay(spark, layout, tmp_path):
     medallion.refresh(spark, feed(tmp_path / "a", ROWS), layout)
     medallion.refresh(spark, feed(tmp_path / "b", ROWS[:2]), layout)
