@@ -56,11 +56,7 @@ def _settings(spark: SparkSession, wanted: Mapping[str, str]) -> Iterator[None]:
 
 
 def _sized_for(file_bytes: int) -> dict[str, str]:
-    """Let a rebalance aim at ``file_bytes`` per task, rather than at many tasks."""
-    return {
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(file_bytes),
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    }
+    return {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(file_bytes)}
 
 
 def save_table(
@@ -238,14 +234,17 @@ def compact_table(
     and splits large ones by measured size, so one huge partition value is
     spread over many tasks.
     """
-    save_table(
-        spark.table(name),
-        name,
-        partition_by=partition_columns(spark, name),
-        rebalance=True,
-        keep_previous=keep_previous,
-        file_bytes=file_bytes,
-    )
+    # File size goes before parallelism here; elsewhere the shuffles ahead of
+    # the write would lose their parallelism too.
+    with _settings(spark, {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}):
+        save_table(
+            spark.table(name),
+            name,
+            partition_by=partition_columns(spark, name),
+            rebalance=True,
+            keep_previous=keep_previous,
+            file_bytes=file_bytes,
+        )
 
 
 def file_sizes(spark: SparkSession, name: str) -> DataFrame:
