@@ -8,6 +8,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from caselake.session import stage
+
+# Up to this many repeated keys, some tens of megabytes, are broadcast with their survivor's place.
+LISTED_KEYS = 200_000
+
 
 def with_flags(df: DataFrame, rules: Mapping[str, Column], passed: str = "dq_passed") -> DataFrame:
     """One three-valued flag per rule, and their conjunction. No row is dropped."""
@@ -73,6 +78,36 @@ def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) ->
     return df.withColumn("__nth", F.row_number().over(first)).filter("__nth = 1").drop("__nth")
 
 
+def dedupe_stored(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (), listed: int = LISTED_KEYS
+) -> DataFrame:
+    """:func:`dedupe` of parquet table rows that shuffles keys only, not rows.
+
+    A first pass reads the key columns and finds the keys that repeat. If they
+    are at most ``listed``, the place (file and row) of each one's survivor is
+    broadcast and a single scan drops the other copies. Otherwise the rows go
+    through :func:`dedupe`. ``df`` must come straight from a table scan.
+    """
+    copies = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__copies"))
+    repeated = stage(copies.filter("__copies > 1").select(*keys))
+    if repeated.limit(listed + 1).count() > listed:
+        return dedupe(df, keys, order_by)
+    file, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    placed = df.withColumns({"__file": file, "__row": row}).alias("d")
+    same = reduce(lambda a, b: a & b, [F.col(f"d.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys])
+    place = F.struct(*order_by, "__file", "__row")
+    survivors = (
+        placed.join(F.broadcast(repeated.alias("r")), same, "left_semi")
+        .groupBy(*keys)
+        .agg(F.min(place).alias("__first"))
+    )
+    marked = placed.join(F.broadcast(survivors.alias("r")), same, "left")
+    kept = F.col("r.__first").isNull() | (
+        (F.col("r.__first.__file") == F.col("d.__file")) & (F.col("r.__first.__row") == F.col("d.__row"))
+    )
+    return marked.filter(kept).select(*[F.col(f"d.`{c}`") for c in df.columns])
+
+
 def dedupe_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows before and after deduplication and the difference; shuffles only the keys."""
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))

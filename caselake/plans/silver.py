@@ -71,10 +71,18 @@ DQ_FLAGS = (
 )
 
 
-def to_silver(bronze: DataFrame, keep_tokens: bool = False) -> DataFrame:
-    """One shuffle (the deduplication, on raw columns), then projections only."""
-    df = quality.dedupe(bronze, ["_record_hash"], order_by=["_ingested_at", "_batch_id"])
-    df = normalize_demographics(standardize_names(df))
+# A record's copies are ranked by these; the first one stays.
+FIRST_SEEN = ("_ingested_at", "_batch_id")
+
+
+def clean(unique: DataFrame, keep_tokens: bool = False) -> DataFrame:
+    """Everything after deduplication: projections only, no shuffle."""
+    df = normalize_demographics(standardize_names(unique))
     df = null_defaults(derive_features(enforce_types(df)), K.NULL_DEFAULTS)
     df = quality.with_flags(df, admission_rules())
     return df if keep_tokens else df.drop("NameTokens")
+
+
+def to_silver(bronze: DataFrame, keep_tokens: bool = False) -> DataFrame:
+    """One shuffle (the deduplication, on raw columns), then projections."""
+    return clean(quality.dedupe(bronze, ["_record_hash"], FIRST_SEEN), keep_tokens)

@@ -387,6 +387,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "dq_three_valued_counts": over("silver", _flag_counts()),
         "dedupe_record_hash": over("uniq", "SELECT * EXCLUDE (_ingested_at) FROM uniq"),
+        "dedupe_stored": over("uniq", "SELECT * EXCLUDE (_ingested_at) FROM uniq"),
         "dedupe_report": over(
             "bronze",
             "SELECT count(*) AS records_before, count(DISTINCT _record_hash) AS records_after, "

@@ -277,6 +277,14 @@ def dedupe_record_hash(spark, sf_dir):
     return unique.drop("_ingested_at")
 
 
+@query
+def dedupe_stored(spark, sf_dir):
+    name = f"{scratch_database(spark)}.bronze"
+    tables.save_table(_bronze(spark, sf_dir), name)
+    unique = quality.dedupe_stored(spark.table(name), ["_record_hash"], ["_ingested_at", "_batch_id"])
+    return unique.drop("_ingested_at")
+
+
 @query
 def dedupe_report(spark, sf_dir):
     return quality.dedupe_report(_bronze(spark, sf_dir), ["_record_hash"])

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,6 +86,15 @@ def test_a_second_batch_updates_and_adds_groups(spark, layout, tmp_path):
     assert (passed.passed, passed.failed, passed.passed_pct) == (4, 2, 66.7)
 
 
+def test_wide_tables_give_the_same_silver(spark, layout, tmp_path):
+    rows = [*ROWS, ROWS[0], ROWS[3]]
+    medallion.refresh(spark, feed(tmp_path / "a", rows), layout, schema="string", cluster=False)
+    narrow = sorted(map(repr, spark.table(layout.clean_table).collect()))
+    wide = replace(layout, wide_bytes=0, rebalance=False, keep_previous=False)
+    medallion.refine(spark, wide)
+    assert sorted(map(repr, spark.table(layout.clean_table).collect())) == narrow
+
+
 def test_incremental_batches_equal_a_full_refresh(spark, layout, tmp_path):
     options = {"schema": "string", "mode": "append", "cluster": False}
     one, two = feed(tmp_path / "a", ROWS[:3]), feed(tmp_path / "b", [ROWS[1], *ROWS[3:], ROWS[4]])

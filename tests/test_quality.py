@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from caselake.operators import quality
 from caselake.plans.silver import DQ_FLAGS, admission_rules
+from caselake.sinks.tables import save_table
 
 def flagged(spark, rows):
     df = spark.createDataFrame(rows, "i int, a int, b double, x string, y string, s int, n string").select(
@@ -85,3 +86,37 @@ def test_dedupe_of_a_hot_key_shrinks_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2
     assert unique.count() == 40_001
     assert unique.filter("h = 'hot'").first().v == 0
+
+
+def stored(spark, database, df):
+    save_table(df, f"{database}.rows")
+    return spark.table(f"{database}.rows")
+
+
+@pytest.mark.parametrize("listed", [1000, 3])
+def test_dedupe_stored_agrees_with_dedupe(spark, database, listed):
+    df = spark.range(0, 3000, 1, 6).selectExpr(
+        "if(id % 3 = 0, 'hot', if(id % 100 = 1, null, string(id % 1000))) AS h",
+        "if(id % 7 = 0, null, int(id % 5)) AS batch",
+        "'x' AS v",
+    )
+    rows = stored(spark, database, df)
+    found = quality.dedupe_stored(rows, ["h"], ["batch"], listed=listed)
+    assert found.columns == ["h", "batch", "v"]
+    expected = quality.dedupe(df, ["h"], ["batch"])
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, expected.collect()))
+
+
+def test_dedupe_stored_keeps_one_of_equal_copies_and_shuffles_no_rows(spark, database):
+    df = spark.range(0, 6000, 1, 6).selectExpr("if(id % 3 = 0, 'hot', string(id)) AS h", "repeat('x', 50) AS v")
+    rows = stored(spark, database, df)
+    found = quality.dedupe_stored(rows, ["h"])
+    assert found.count() == 4001 and found.filter("h = 'hot'").count() == 1
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1 and "partial_min" in plan
+
+
+def test_dedupe_stored_without_repeats(spark, database):
+    rows = stored(spark, database, spark.range(100).selectExpr("string(id) AS h"))
+    assert quality.dedupe_stored(rows.filter("h < '5'"), ["h"]).count() == rows.filter("h < '5'").count()
