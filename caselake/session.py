@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
+from collections.abc import Iterator, Mapping
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+PARTITION_BYTES = 256 * 1024**2
+MOST_PARTITIONS = 100_000
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
@@ -27,6 +30,34 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+@contextmanager
+def settings(spark: SparkSession, wanted: Mapping[str, str]) -> Iterator[None]:
+    """Session settings for the jobs started inside the block."""
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def shuffle_sized(spark: SparkSession, size: int) -> AbstractContextManager[None]:
+    """Enough shuffle partitions for ``size`` bytes of rows, never fewer than the session has.
+
+    Adaptive execution merges partitions that turn out small, but cannot split
+    evenly large ones; so a default meant for small data must be raised first.
+    The upper end keeps the number of shuffle blocks manageable.
+    """
+    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(-(-size // PARTITION_BYTES), MOST_PARTITIONS)
+    return settings(spark, {"spark.sql.shuffle.partitions": str(max(now, wanted))})
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 

@@ -12,14 +12,13 @@ table, and concurrent writers of one table must be kept apart by the caller.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Mapping, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caselake.session import remove_path, staged
+from caselake.session import remove_path, settings, shuffle_sized, staged
 
 FILE_BYTES = 128 * 1024 * 1024
 # Up to this many touched partitions are listed as literals for static pruning.
@@ -40,21 +39,6 @@ def table_location(spark: SparkSession, name: str) -> str:
     return detail.first()["data_type"]
 
 
-@contextmanager
-def _settings(spark: SparkSession, wanted: Mapping[str, str]) -> Iterator[None]:
-    before = {key: spark.conf.get(key, None) for key in wanted}
-    for key, value in wanted.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
-
-
 def _sized_for(file_bytes: int) -> dict[str, str]:
     return {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(file_bytes)}
 
@@ -81,7 +65,7 @@ def save_table(
         df = df.hint("rebalance", *partition_by)
     if mode not in ("overwrite", "append"):
         raise ValueError(f"mode must be 'overwrite' or 'append', not {mode!r}")
-    with _settings(spark, _sized_for(file_bytes) if rebalance else {}):
+    with settings(spark, _sized_for(file_bytes) if rebalance else {}):
         if mode == "append" and spark.catalog.tableExists(name):
             df.write.mode("append").partitionBy(*partition_columns(spark, name)).saveAsTable(name)
         else:
@@ -207,8 +191,8 @@ def upsert(
 
 def _overwrite_partitions(df: DataFrame, name: str, parts: Sequence[str]) -> None:
     """Replace the partitions that occur in ``df`` and no others."""
-    settings = {"spark.sql.sources.partitionOverwriteMode": "dynamic", **_sized_for(FILE_BYTES)}
-    with _settings(df.sparkSession, settings):
+    wanted = {"spark.sql.sources.partitionOverwriteMode": "dynamic", **_sized_for(FILE_BYTES)}
+    with settings(df.sparkSession, wanted):
         df.hint("rebalance", *parts).write.insertInto(name, overwrite=True)
 
 
@@ -236,7 +220,8 @@ def compact_table(
     """
     # File size goes before parallelism here; elsewhere the shuffles ahead of
     # the write would lose their parallelism too.
-    with _settings(spark, {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}):
+    by_size = settings(spark, {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"})
+    with by_size, shuffle_sized(spark, size_in_bytes(spark.table(name))):
         save_table(
             spark.table(name),
             name,
@@ -253,6 +238,12 @@ def file_sizes(spark: SparkSession, name: str) -> DataFrame:
     return source.groupBy("file_path", "file_size").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def size_in_bytes(table: DataFrame) -> int:
+    """Bytes of the files a table scan reads from; no row and no column is read."""
+    each = table.select("_metadata.file_path", "_metadata.file_size").distinct()
+    return each.agg(F.sum("file_size")).first()[0] or 0
+
+
 def table_detail(spark: SparkSession, name: str) -> DataFrame:
     """One row: name, location, partition columns, files, bytes, rows."""
     parts = F.array(*[F.lit(c) for c in partition_columns(spark, name)]).cast("array<string>")
@@ -328,8 +319,7 @@ def cluster_table(
     table = spark.table(name)
     parts = partition_columns(spark, name)
     if files is None:
-        total = table_detail(spark, name).first()["size_in_bytes"]
-        files = max(1, -(-total // file_bytes))
+        files = max(1, -(-size_in_bytes(table) // file_bytes))
     # A table of one file is only sorted; there is nothing to lay out.
     several = len(columns) > 1 and files > 1
     place = z_value(table, columns) if several else F.col(columns[0])

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caselake.plans import gold, medallion, silver
-from caselake.session import fresh_path, shared_dir
+from caselake.session import fresh_path, shared_dir, shuffle_sized
 
 HEADER = (
     "Name,Age,Gender,Blood Type,Medical Condition,Date of Admission,Discharge Date,Hospital,"
@@ -81,6 +81,7 @@ def test_a_second_batch_updates_and_adds_groups(spark, layout, tmp_path):
     assert condition == {"Asthma": 2, "Diabetes": 1, None: 1}
     reports = medallion.reports(spark, layout)
     assert tuple(reports["dedupe"].first()) == (6, 6, 0)
+    assert "hashpartitioning" not in reports["dedupe"]._jdf.queryExecution().toString()
     assert tuple(reports["exclusion"].first()) == (6, 4, 2)
     passed = reports["quality"].filter("rule = 'dq_passed'").first()
     assert (passed.passed, passed.failed, passed.passed_pct) == (4, 2, 66.7)
@@ -133,6 +134,15 @@ def test_silver_schema(spark, layout, tmp_path):
     assert parts == ["_ingest_date", "medical_condition"]
 
 
+def test_shuffles_are_sized_upwards_only(spark):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    for size, partitions in ((0, before), (10 * 1024**4, "40960"), (10**17, "100000")):
+        with shuffle_sized(spark, size):
+            assert spark.conf.get(key) == partitions
+        assert spark.conf.get(key) == before
+
+
 def test_shared_dir_comes_from_the_session(spark):
     assert fresh_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert spark.range(1).select(F.lit(1)).count() == 1
