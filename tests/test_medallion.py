@@ -63,10 +63,10 @@ def test_a_fresh_run(spark, layout, tmp_path):
 
 def test_sending_a_batch_again_changes_no_mart(spark, layout, tmp_path):
     source = feed(tmp_path / "a", ROWS)
-    medallion.refresh(spark, source, layout, schema="string", mode="append", batch_id="1")
+    medallion.refresh(spark, source, layout, cluster=False, schema="string", mode="append", batch_id="1")
     before, clean = marts(spark, layout), spark.table(layout.clean_table)
     hashes = sorted(r[0] for r in clean.select("_record_hash").collect())
-    medallion.refresh(spark, source, layout, schema="string", mode="append", batch_id="2")
+    medallion.refresh(spark, source, layout, cluster=False, schema="string", mode="append", batch_id="2")
     assert spark.table(layout.raw_table).count() == 2 * len(ROWS)
     again = spark.table(layout.clean_table)
     assert sorted(r[0] for r in again.select("_record_hash").collect()) == hashes
@@ -75,8 +75,8 @@ def test_sending_a_batch_again_changes_no_mart(spark, layout, tmp_path):
 
 
 def test_a_second_batch_updates_and_adds_groups(spark, layout, tmp_path):
-    medallion.refresh(spark, feed(tmp_path / "a", ROWS[:2]), layout, schema="string", mode="append")
-    medallion.refresh(spark, feed(tmp_path / "b", ROWS[2:]), layout, schema="string", mode="append")
+    medallion.refresh(spark, feed(tmp_path / "a", ROWS[:2]), layout, cluster=False, schema="string", mode="append")
+    medallion.refresh(spark, feed(tmp_path / "b", ROWS[2:]), layout, cluster=False, schema="string", mode="append")
     condition = {r.medical_condition: r.total_patients for r in spark.table(layout.mart("condition_summary")).collect()}
     assert condition == {"Asthma": 2, "Diabetes": 1, None: 1}
     reports = medallion.reports(spark, layout)
@@ -91,9 +91,21 @@ def test_wide_tables_give_the_same_silver(spark, layout, tmp_path):
     rows = [*ROWS, ROWS[0], ROWS[3]]
     medallion.refresh(spark, feed(tmp_path / "a", rows), layout, schema="string", cluster=False)
     narrow = sorted(map(repr, spark.table(layout.clean_table).collect()))
-    wide = replace(layout, wide_bytes=0, rebalance=False, keep_previous=False)
-    medallion.refine(spark, wide)
-    assert sorted(map(repr, spark.table(layout.clean_table).collect())) == narrow
+    for rebalance in (None, True, False):
+        medallion.refine(spark, replace(layout, wide_bytes=0, rebalance=rebalance, keep_previous=False))
+        assert sorted(map(repr, spark.table(layout.clean_table).collect())) == narrow
+
+
+def test_only_writes_with_many_partition_values_are_rebalanced(spark, layout):
+    size = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    for values, rebalance, wanted in ((3, None, False), (9, None, True), (3, True, True), (9, False, False)):
+        rows = spark.range(100).selectExpr("DATE '2024-01-01' AS _ingest_date", f"id % {values} AS medical_condition")
+        with medallion._file_layout(spark, replace(layout, rebalance=rebalance), rows) as chosen:
+            assert chosen == wanted
+            expected = before if wanted else str(min(values, 8) * 128 * 1024**2)
+            assert spark.conf.get(size).rstrip("B") == expected.rstrip("B")
+        assert spark.conf.get(size) == before
 
 
 def test_incremental_batches_equal_a_full_refresh(spark, layout, tmp_path):
@@ -118,8 +130,8 @@ def test_a_batch_reads_only_its_rows_and_known_hashes(spark, layout, tmp_path):
 
 
 def test_groups_that_vanish_stay(spark, layout, tmp_path):
-    medallion.refresh(spark, feed(tmp_path / "a", ROWS), layout)
-    medallion.refresh(spark, feed(tmp_path / "b", ROWS[:2]), layout)
+    medallion.refresh(spark, feed(tmp_path / "a", ROWS), layout, cluster=False)
+    medallion.refresh(spark, feed(tmp_path / "b", ROWS[:2]), layout, cluster=False)
     kept = {r.medical_condition for r in spark.table(layout.mart("condition_summary")).collect()}
     assert kept == {"Asthma", "Diabetes", None}
 
