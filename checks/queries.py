@@ -16,7 +16,7 @@ from caselake.operators import summary as S
 from caselake.operators.columns import cast_columns, clean_column_names, null_defaults, with_lineage
 from caselake.plans import gold, medallion, silver
 from caselake.plans.admissions import admissions
-from caselake.session import fresh_path, scratch_database
+from caselake.session import fresh_path, scratch_database, stage
 from caselake.sinks import tables
 from caselake.sources.files import read_csv
 from caselake.sources.tables import read_table
@@ -368,11 +368,12 @@ def window_rank_by_count(spark, sf_dir):
 
 @query
 def join_left_using(spark, sf_dir):
-    base = _base(spark, sf_dir)
-    totals = S.segment_summary(base, ["medical_condition"], [S.row_count("total_patients")])
-    women = base.filter(F.col("gender") == "F")
-    modes = S.mode_per_group(women, ["medical_condition"], "admission_type", "female_admission_type")
-    return totals.join(modes, on="medical_condition", how="left")
+    """Group totals with the most common admission type among women, both from one staged count."""
+    key, value, n = "medical_condition", "admission_type", S.row_count("total_patients")
+    cells = stage(S.segment_cells(_base(spark, sf_dir), [key, "gender", value], [n]))
+    women = S.merge_cells(cells.filter(F.col("gender") == "F"), [key, value], [n])
+    modes = S.mode_from_counts(women, [key], value, S.ROWS, "female_admission_type")
+    return S.summary_from_cells(cells, [key], [n]).join(modes, on=key, how="left")
 
 
 # ---- sorts, limits --------------------------------------------------------

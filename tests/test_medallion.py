@@ -108,7 +108,9 @@ def test_only_writes_with_many_partition_values_are_rebalanced(spark, layout):
         assert spark.conf.get(size) == before
 
 
-def test_incremental_batches_equal_a_full_refresh(spark, layout, tmp_path):
+@pytest.mark.parametrize("listed", [200_000, 1])
+def test_incremental_batches_equal_a_full_refresh(spark, layout, tmp_path, monkeypatch, listed):
+    monkeypatch.setattr(medallion, "LISTED_KEYS", listed)
     options = {"schema": "string", "mode": "append", "cluster": False}
     one, two = feed(tmp_path / "a", ROWS[:3]), feed(tmp_path / "b", [ROWS[1], *ROWS[3:], ROWS[4]])
     for batch, source in (("1", one), ("2", two), ("3", two)):
