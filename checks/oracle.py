@@ -462,7 +462,8 @@ def oracle_sql() -> dict[str, str]:
             "base", f"{demographics} ORDER BY age_group NULLS FIRST, gender NULLS FIRST, total_patients DESC NULLS LAST"
         ),
         "limit_ordered": over(
-            "base", "SELECT admission_id, name, billing_amount FROM base ORDER BY billing_amount DESC, admission_id LIMIT 10"
+            "base",
+            "SELECT admission_id, name, billing_amount FROM base ORDER BY billing_amount DESC, admission_id LIMIT 10",
         ),
         # marts
         "condition_summary": over("base", condition),
@@ -488,7 +489,8 @@ def oracle_sql() -> dict[str, str]:
             ),
         ),
         "top1_age_group_avg_billing": over(
-            "base", _top(roll_up(money_mean, billing, "age_group", "avg_billing_amount", "avg_bill"), "avg_bill", "age_group")
+            "base",
+            _top(roll_up(money_mean, billing, "age_group", "avg_billing_amount", "avg_bill"), "avg_bill", "age_group"),
         ),
         "top1_condition_total": over(
             "base",
@@ -502,7 +504,8 @@ def oracle_sql() -> dict[str, str]:
             "base", _top(roll_up(total, demographics, "age_group", "total_patients", "total"), "total", "age_group")
         ),
         "top1_gender_avg_billing": over(
-            "base", _top(roll_up(money_mean, demographics, "gender", "avg_billing_amount", "avg_bill"), "avg_bill", "gender")
+            "base",
+            _top(roll_up(money_mean, demographics, "gender", "avg_billing_amount", "avg_bill"), "avg_bill", "gender"),
         ),
         "top1_condition_abnormal_segments": over(
             "base",
