@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselake.llm.lines import drop_shared_lines
+from caselake.llm.minhash import Near, near_duplicates
 from caselake.llm.rows import utf8_sha256
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,5 +23,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", utf8_sha256(F.col("text")).alias("kept_sha256"))
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_duplicates(docs, Near(words=3, percent=85)).drop("version")
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_line_dedup,)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_minhash_near_dedup)}
