@@ -30,7 +30,9 @@ def text_of(name: str = "text") -> Column:
 
 
 def lower_ascii(text: Column) -> Column:
-    return F.translate(text, UPPER, UPPER.lower())
+    """A-Z lower-cased and no other letter; text of ASCII alone goes the short way."""
+    plain = F.octet_length(text) == F.char_length(text)
+    return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
 def utf8_sha256(text: Column) -> Column:
