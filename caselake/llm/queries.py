@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from caselake.llm.lines import drop_shared_lines
 from caselake.llm.minhash import Near, near_duplicates
+from caselake.llm.packing import pack
 from caselake.llm.rows import utf8_sha256
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,5 +29,17 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(docs, Near(words=3, percent=85)).drop("version")
 
 
+def vocabulary(name: str) -> str:
+    """Where a public tokenizer's file lies; the package is the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pack(docs, vocabulary("word_bpe_49k.json"), end_id=2)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_minhash_near_dedup)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_minhash_near_dedup, op3_packing)}
