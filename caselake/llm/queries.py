@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from caselake.llm.lines import drop_shared_lines
 from caselake.llm.minhash import Near, near_duplicates
 from caselake.llm.packing import pack
+from caselake.llm.rangecoder import read_ids, write_ids
 from caselake.llm.rows import utf8_sha256
+from caselake.session import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,5 +43,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(docs, vocabulary("word_bpe_49k.json"), end_id=2)
 
 
+def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "token-ids")
+    write_ids(table(spark, sf_dir, "documents").select("doc_id", "text"), path, vocabulary("byte_bpe_50k.json"), end_id=0)
+    return read_ids(spark, path)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_minhash_near_dedup, op3_packing)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_minhash_near_dedup, op3_packing, op7_token_ids)}
