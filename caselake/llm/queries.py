@@ -12,6 +12,7 @@ from caselake.llm.minhash import Near, near_duplicates
 from caselake.llm.packing import pack
 from caselake.llm.rangecoder import read_ids, write_ids
 from caselake.llm.rows import utf8_sha256
+from caselake.llm.spherical import near_vectors
 from caselake.session import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,5 +50,9 @@ def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ids(spark, path)
 
 
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_minhash_near_dedup, op3_packing, op7_token_ids)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_minhash_near_dedup, op3_packing, op7_token_ids, op10_embedding_near_dedup)}
