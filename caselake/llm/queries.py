@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caselake.llm.imatch import fingerprints
 from caselake.llm.lines import drop_shared_lines
 from caselake.llm.minhash import Near, near_duplicates
 from caselake.llm.packing import pack
@@ -44,6 +45,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(docs, vocabulary("word_bpe_49k.json"), end_id=2)
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "token-ids")
     write_ids(table(spark, sf_dir, "documents").select("doc_id", "text"), path, vocabulary("byte_bpe_50k.json"), end_id=0)
@@ -55,4 +60,4 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_minhash_near_dedup, op3_packing, op7_token_ids, op10_embedding_near_dedup)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_minhash_near_dedup, op3_packing, op6_fingerprints, op7_token_ids, op10_embedding_near_dedup)}
