@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caselake.llm.htmlcrf import extract_main_text, fitted
 from caselake.llm.imatch import fingerprints
 from caselake.llm.lines import drop_shared_lines
 from caselake.llm.minhash import Near, near_duplicates
@@ -55,9 +56,14 @@ def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ids(spark, path)
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract_main_text(pages, fitted(pages)).select("page_id", "url", "text", "n_chars")
+
+
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_minhash_near_dedup, op3_packing, op6_fingerprints, op7_token_ids, op10_embedding_near_dedup)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_minhash_near_dedup, op3_packing, op6_fingerprints, op7_token_ids, op9_html_extraction, op10_embedding_near_dedup)}
