@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from caselake.llm.htmlcrf import extract_main_text, fitted
 from caselake.llm.imatch import fingerprints
+from caselake.llm.langid import fit, identify, learnable
 from caselake.llm.lines import drop_shared_lines
 from caselake.llm.minhash import Near, near_duplicates
 from caselake.llm.packing import pack
@@ -46,6 +47,12 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(docs, vocabulary("word_bpe_49k.json"), end_id=2)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = docs.select("doc_id", (~learnable(F.col("doc_id"))).alias("held_out"), "text")
+    return identify(held_out, fit(docs.select("doc_id", "text", "lang"))).drop("text")
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -66,4 +73,4 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_minhash_near_dedup, op3_packing, op6_fingerprints, op7_token_ids, op9_html_extraction, op10_embedding_near_dedup)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_minhash_near_dedup, op3_packing, op4_language_id, op6_fingerprints, op7_token_ids, op9_html_extraction, op10_embedding_near_dedup)}
