@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselake.llm.htmlcrf import extract_main_text, fitted
@@ -14,6 +14,7 @@ from caselake.llm.lines import drop_shared_lines
 from caselake.llm.minhash import Near, near_duplicates
 from caselake.llm.packing import pack
 from caselake.llm.rangecoder import read_ids, write_ids
+from caselake.llm.revisit import resolve_revisits
 from caselake.llm.rows import utf8_sha256
 from caselake.llm.spherical import near_vectors
 from caselake.session import fresh_path
@@ -53,6 +54,62 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(held_out, fit(docs.select("doc_id", "text", "lang"))).drop("text")
 
 
+def captures(pages: DataFrame) -> DataFrame:
+    """Captures of every page: itself, a revisit a week later, and the front page of its site.
+
+    One front page in four is a full response, the others revisits, so the
+    captures of a large site's front page are many. Every fifth revisit of a
+    page names another ETag and every seventh none.
+    """
+    page, url = F.col("page_id"), F.col("url")
+    time = F.lit(1_700_000_000) + page * 60
+    etag = F.md5(F.coalesce("html", F.lit("")))
+    site = F.regexp_extract(url, "^([a-z]+://[^/]*)", 1)
+    edition = F.concat(F.lit("v"), F.floor(page / 400).cast("string"))
+
+    def record(number: int, url: Column, time: Column, kind: Column, etag: Column, payload: Column) -> Column:
+        full = F.map_from_arrays(
+            F.array(F.lit("Content-Type"), F.lit("Content-Length"), F.lit("ETag")),
+            F.array(F.lit("text/html"), F.octet_length(payload).cast("string"), etag),
+        )
+        short = F.map_from_arrays(
+            F.array(F.lit("Date"), F.lit("Content-Length"), F.lit("Set-Cookie")),
+            F.array(time.cast("string"), F.lit("0"), F.lit("id")),
+        )
+        return F.struct(
+            (page * 3 + number).alias("record_id"),
+            url.alias("url"),
+            time.alias("captured_at"),
+            kind.alias("kind"),
+            etag.alias("etag"),
+            F.lit(None).cast("string").alias("last_modified"),
+            F.when(kind == "response", full).otherwise(short).alias("headers"),
+            F.when(kind == "response", payload).alias("payload"),
+        )
+
+    again = F.when(page % 5 == 0, F.lit("other")).when(page % 7 == 0, F.lit(None)).otherwise(F.concat(F.lit("W/"), etag))
+    front = F.when(page % 4 == 0, F.lit("response")).otherwise(F.lit("revisit"))
+    every = F.array(
+        record(0, url, time, F.lit("response"), etag, F.coalesce("html", F.lit(""))),
+        record(1, F.concat(url, F.lit("#again")), time + 7 * 86_400, F.lit("revisit"), again, F.lit("")),
+        record(2, F.concat(F.upper(site), F.lit("/")), time, front, edition, F.concat(site, edition)),
+    )
+    return pages.select(F.inline(every))
+
+
+def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resolve_revisits(captures(table(spark, sf_dir, "pages")))
+    lines = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
+    return found.select(
+        "record_id",
+        "page",
+        "status",
+        "response_id",
+        F.array_join(lines, "\n").alias("headers"),
+        F.sha2(F.col("payload").cast("binary"), 256).alias("payload_sha256"),
+    )
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -73,4 +130,4 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_minhash_near_dedup, op3_packing, op4_language_id, op6_fingerprints, op7_token_ids, op9_html_extraction, op10_embedding_near_dedup)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_minhash_near_dedup, op3_packing, op4_language_id, op5_warc_revisits, op6_fingerprints, op7_token_ids, op9_html_extraction, op10_embedding_near_dedup)}
