@@ -13,6 +13,7 @@ from caselake.llm.langid import fit, identify, learnable
 from caselake.llm.lines import drop_shared_lines
 from caselake.llm.minhash import Near, near_duplicates
 from caselake.llm.packing import pack
+from caselake.llm.pieces import decode_pieces, encode_pieces
 from caselake.llm.rangecoder import read_ids, write_ids
 from caselake.llm.revisit import resolve_revisits
 from caselake.llm.rows import utf8_sha256
@@ -120,6 +121,19 @@ def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ids(spark, path)
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = vocabulary("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    decoded = decode_pieces(encode_pieces(docs, model), model, into="decoded")
+    return decoded.select(
+        "doc_id",
+        F.size("pieces").cast("bigint").alias("n_pieces"),
+        F.xxhash64("pieces").alias("pieces_xxhash64"),
+        utf8_sha256(F.col("decoded")).alias("decoded_sha256"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )
+
+
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return extract_main_text(pages, fitted(pages)).select("page_id", "url", "text", "n_chars")
@@ -130,4 +144,4 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_minhash_near_dedup, op3_packing, op4_language_id, op5_warc_revisits, op6_fingerprints, op7_token_ids, op9_html_extraction, op10_embedding_near_dedup)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_minhash_near_dedup, op3_packing, op4_language_id, op5_warc_revisits, op6_fingerprints, op7_token_ids, op8_sentencepiece, op9_html_extraction, op10_embedding_near_dedup)}

@@ -18,24 +18,14 @@ _LONGEST_KEPT = 64
 _MOST_KEPT = 1_000_000
 
 
-class Encoder:
-    """``encode`` of a ``tokenizers`` file without special tokens, remembering chunks.
+class ChunkEncoder:
+    """Encodes texts chunk by chunk and remembers the ids of each distinct chunk, up to a bound.
 
-    A chunk is white space and the text up to the next one. The patterns by
-    which these vocabularies cut text never take a character of a chunk
-    together with the white space that follows it, so the ids of a text are
-    those of its chunks in a row. Texts with unusual white space, and chunks
-    of unusual length, are left to the tokenizer as they are.
+    Subclasses cut a text into chunks whose ids, in a row, are the text's, or
+    say that a text has to be encoded whole.
     """
 
-    def __init__(self, path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
-        # Where white space is dropped, it need not be part of a chunk.
-        self._bare = not len(self._ids(["\n \n"])[0])
+    def __init__(self) -> None:
         self._forget()
 
     def _forget(self) -> None:
@@ -44,9 +34,10 @@ class Encoder:
 
     def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and how many each text has."""
-        found = [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter(chain.from_iterable(found), np.uint32, sizes.sum()), sizes
+        raise NotImplementedError
+
+    def _chunks(self, text: str) -> list[str] | None:
+        raise NotImplementedError
 
     def _learn(self, chunks: set[str]) -> None:
         new = list(chunks)
@@ -61,12 +52,6 @@ class Encoder:
         self._flat[start:end] = ids
         self._known.update(zip(new, range(base, base + len(new))))
 
-    def _chunks(self, text: str) -> list[str] | None:
-        if _UNUSUAL.search(text):
-            return None
-        chunks = text.split() if self._bare else _CHUNK.findall(text)
-        return chunks if max(map(len, chunks), default=0) <= _LONGEST_KEPT else None
-
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
         cut = [self._chunks(text) for text in texts]
@@ -91,6 +76,38 @@ class Encoder:
         return np.split(flat, np.cumsum(sizes)[:-1]) if len(sizes) else []
 
 
+class Encoder(ChunkEncoder):
+    """``encode`` of a ``tokenizers`` file without special tokens.
+
+    A chunk is white space and the text up to the next one. The patterns by
+    which these vocabularies cut text never take a character of a chunk
+    together with the white space that follows it, so the ids of a text are
+    those of its chunks in a row. Texts with unusual white space, and chunks
+    of unusual length, are left to the tokenizer as they are.
+    """
+
+    def __init__(self, path: str) -> None:
+        super().__init__()
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self._tokenizer = Tokenizer.from_file(path)
+        self._tokenizer.encode_special_tokens = True
+        # Where white space is dropped, it need not be part of a chunk.
+        self._bare = not len(self._ids(["\n \n"])[0])
+
+    def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, sizes.sum()), sizes
+
+    def _chunks(self, text: str) -> list[str] | None:
+        if _UNUSUAL.search(text):
+            return None
+        chunks = text.split() if self._bare else _CHUNK.findall(text)
+        return chunks if max(map(len, chunks), default=0) <= _LONGEST_KEPT else None
+
+
 def in_groups(texts: list[str], most: int = 2_000_000) -> Iterator[list[str]]:
     """Consecutive texts of about ``most`` characters together; every text is in one group."""
     group, size = [], 0
