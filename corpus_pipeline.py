@@ -5,19 +5,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caselake.llm.langid import fit, identify
 from caselake.llm.lines import drop_shared_lines
+from caselake.llm.minhash import Near, near_duplicates
+from caselake.llm.packing import pack
+from caselake.llm.queries import vocabulary
 from caselake.session import stage
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a recognisable language go."""
+    return identify(docs, fit(docs)).filter("NOT rejected").select(*docs.columns)
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that many documents share stay in one of them."""
+    """Lines that many documents share stay in one of them; ``n_chars`` follows the text."""
     kept = drop_shared_lines(docs).select(*docs.columns)
     return kept.withColumn("n_chars", F.char_length("text").cast("bigint")).select(*docs.columns)
 
 
-STAGES = [("line_dedup", line_dedup)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document of the smallest id stays; of rows of one id and text, one."""
+    found = near_duplicates(docs.select("doc_id", "text"), Near(words=5, percent=80)).filter("kept")
+    named = found.groupBy(F.col("doc_id").alias("kept_id"), "version").agg(F.count(F.lit(1)).alias("rows"))
+    named = stage(named)
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.xxhash64("text") == F.col("version"))
+    kept = docs.join(named, same, "left_semi")
+    # Rows are compared once more only where some repeat.
+    return kept if named.filter("rows > 1").isEmpty() else kept.dropDuplicates(["doc_id", "text"])
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document lies in sequences of at most 4096 ids."""
+    return pack(docs.select("doc_id", "text"), vocabulary("word_bpe_49k.json"), end_id=2)
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup),
+    ("minhash_near_dedup", near_dedup),
+    ("packing", packing),
+]
 
-# Language identification is a trained model, so SQL can't state the rows.
+# Language identification is a trained model, so SQL cannot state the rows.
 ORACLE_SQL = None
 
 
