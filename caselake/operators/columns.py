@@ -40,10 +40,11 @@ def with_lineage(
     """Add ingest time and date, source file, batch id and record hash.
 
     ``source`` defaults to the file each row was read from, which only file
-    scans know; pass a literal for other inputs.
+    scans know; pass a literal for other inputs. The hash covers all columns
+    but these five, which are replaced if the input has them.
     """
     when = F.current_timestamp() if ingested_at is None else ingested_at
-    data = [c for c in df.columns if not c.startswith("_metadata")]
+    data = [c for c in df.columns if c not in LINEAGE]
     return df.withColumns(
         {
             "_ingested_at": when,

@@ -8,10 +8,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caselake.session import stage
+from caselake.session import size_in_bytes, stage
 
-# Up to this many repeated keys, some tens of megabytes, are broadcast with their survivor's place.
+# Repeated keys up to this number and file size are broadcast with their survivor's place.
 LISTED_KEYS = 200_000
+LISTED_BYTES = 32 * 1024**2
 
 
 def with_flags(df: DataFrame, rules: Mapping[str, Column], passed: str = "dq_passed") -> DataFrame:
@@ -66,44 +67,58 @@ def exclusion_report(df: DataFrame, passed: str = "dq_passed") -> DataFrame:
     ).withColumn("excluded_records", F.col("total_records") - F.col("kept_records"))
 
 
+def content_order(columns: Sequence[str]) -> list[Column]:
+    """Two hashes that order rows by content, whatever their place or the input's order.
+
+    Hash functions skip NULL, so each column is followed by whether it is one.
+    """
+    told = [part for c in columns for part in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    return [F.xxhash64(*told), F.xxhash64(F.lit(1), *told)]
+
+
 def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
     """Keep the first row per key, by ``order_by`` and then by row content.
 
     ``row_number() = 1`` gets a map-side group limit, so a key that holds a
-    third of all rows leaves each map task as a single row. The content hash
-    makes the survivor the same in every run and every task retry.
+    third of all rows leaves each map task as a single row. The content order
+    makes the survivor the same in every run, every task retry and for every
+    order of the input.
     """
     ordering = [F.col(c).asc_nulls_first() for c in order_by]
-    first = Window.partitionBy(*keys).orderBy(*ordering, F.xxhash64(*df.columns))
+    first = Window.partitionBy(*keys).orderBy(*ordering, *content_order(df.columns))
     return df.withColumn("__nth", F.row_number().over(first)).filter("__nth = 1").drop("__nth")
 
 
 def dedupe_stored(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (), listed: int = LISTED_KEYS
 ) -> DataFrame:
-    """:func:`dedupe` of parquet table rows that shuffles keys only, not rows.
+    """:func:`dedupe` of parquet table rows that shuffles keys only, not rows; it keeps the same rows.
 
     A first pass reads the key columns and finds the keys that repeat. If they
-    are at most ``listed``, the place (file and row) of each one's survivor is
-    broadcast and a single scan drops the other copies. Otherwise the rows go
-    through :func:`dedupe`. ``df`` must come straight from a table scan.
+    are few and small, the place (file and row) of each one's survivor is
+    broadcast and a scan drops the other copies; the survivor is chosen by the
+    order of :func:`dedupe`, the place only tells equal rows apart. Otherwise
+    the rows go through :func:`dedupe`. ``df`` must come straight from a table
+    scan.
     """
     copies = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__copies"))
     repeated = stage(copies.filter("__copies > 1").select(*keys))
-    if repeated.limit(listed + 1).count() > listed:
+    if repeated.limit(listed + 1).count() > listed or size_in_bytes(repeated) > LISTED_BYTES:
         return dedupe(df, keys, order_by)
     file, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
-    placed = df.withColumns({"__file": file, "__row": row}).alias("d")
+    one, two = content_order(df.columns)
+    placed = df.withColumns({"__one": one, "__two": two, "__file": file, "__row": row}).alias("d")
     same = reduce(lambda a, b: a & b, [F.col(f"d.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys])
-    place = F.struct(*order_by, "__file", "__row")
+    place = F.struct(*order_by, "__one", "__two", "__file", "__row")
     survivors = (
         placed.join(F.broadcast(repeated.alias("r")), same, "left_semi")
         .groupBy(*keys)
         .agg(F.min(place).alias("__first"))
+        .select(*keys, F.col("__first.__file").alias("__keep_file"), F.col("__first.__row").alias("__keep_row"))
     )
     marked = placed.join(F.broadcast(survivors.alias("r")), same, "left")
-    kept = F.col("r.__first").isNull() | (
-        (F.col("r.__first.__file") == F.col("d.__file")) & (F.col("r.__first.__row") == F.col("d.__row"))
+    kept = F.col("__keep_row").isNull() | (
+        (F.col("__keep_file") == F.col("d.__file")) & (F.col("__keep_row") == F.col("d.__row"))
     )
     return marked.filter(kept).select(*[F.col(f"d.`{c}`") for c in df.columns])
 

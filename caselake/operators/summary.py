@@ -123,6 +123,12 @@ def merge_cells(
     return cells.groupBy(*keys).agg(*merged, *extra)
 
 
+def spread_cells(cells: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
+    """Every cell with the parts of its whole key instead of its own, by a window."""
+    whole = Window.partitionBy(*keys)
+    return cells.withColumns({p.name: p.over_parts().over(whole) for p in _parts(measures)})
+
+
 def finish(cells: DataFrame, keys: Sequence[str], measures: Sequence[Measure], *extra: Column) -> DataFrame:
     return cells.select(*keys, *[m.value().alias(m.name) for m in measures], *extra)
 

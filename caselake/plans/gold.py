@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caselake import constants as K
 from caselake.operators import summary as S
-from caselake.session import stage
 
 ADMISSION_TYPE = "admission_type"
 MODE = "most_common_admission_type"
@@ -44,9 +45,9 @@ def gold_base(silver: DataFrame) -> DataFrame:
     return silver.filter(F.col("dq_passed"))
 
 
-def mart_cells(base: DataFrame) -> DataFrame:
-    """The finest grain any mart needs, from one pass over the base."""
-    return S.segment_cells(base, CELL_KEYS, ALL_MEASURES)
+def mart_cells(base: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+    """The finest grain any mart needs (and ``also`` columns to keep apart), from one pass over the base."""
+    return S.segment_cells(base, [*CELL_KEYS, *also], ALL_MEASURES)
 
 
 def condition_core(base: DataFrame) -> DataFrame:
@@ -56,9 +57,7 @@ def condition_core(base: DataFrame) -> DataFrame:
 def condition_summary(base: DataFrame, ties: str = "all") -> DataFrame:
     """Metrics and most common admission type per condition, reading the base once."""
     cells = S.segment_cells(base, [*K.CONDITION_KEYS, ADMISSION_TYPE], CONDITION_MEASURES)
-    # With ties kept, two branches read the cells; without a written copy each
-    # would scan and aggregate the base again.
-    return _condition_marts(stage(cells) if ties == "all" else cells, ties)
+    return _condition_marts(cells, ties)
 
 
 def condition_summary_from_cells(cells: DataFrame, ties: str = "all") -> DataFrame:
@@ -80,8 +79,14 @@ def _condition_marts(cells: DataFrame, ties: str) -> DataFrame:
         merged = S.merge_cells(cells, keys, CONDITION_MEASURES, best)
         known = F.when(F.col(keys[0]).isNotNull(), F.col("__best.value")).alias(MODE)
         return S.finish(merged, keys, CONDITION_MEASURES, known)
-    modes = S.mode_from_counts(cells, keys, ADMISSION_TYPE, S.ROWS, MODE, ties)
-    return S.summary_from_cells(cells, keys, CONDITION_MEASURES).join(modes, keys, "left")
+    # One window for the rank and the totals: the cells are read once.
+    heaviest = Window.partitionBy(*keys).orderBy(F.desc(S.ROWS))
+    ranked = cells.withColumns({"__rank": F.rank().over(heaviest), "__nth": F.row_number().over(heaviest)})
+    known = F.col(keys[0]).isNotNull()
+    top = S.spread_cells(ranked, keys, CONDITION_MEASURES).filter(
+        (known & (F.col("__rank") == 1)) | (~known & (F.col("__nth") == 1))
+    )
+    return S.finish(top, keys, CONDITION_MEASURES, F.when(known, F.col(ADMISSION_TYPE)).alias(MODE))
 
 
 def billing_summary(base: DataFrame) -> DataFrame:

@@ -18,11 +18,21 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caselake.session import remove_path, settings, shuffle_sized, staged
+from caselake.session import (
+    folder_bytes,
+    fresh_path,
+    remove_old,
+    remove_path,
+    settings,
+    shuffle_sized,
+    staged,
+)
 
 FILE_BYTES = 128 * 1024 * 1024
 # Up to this many touched partitions are listed as literals for static pruning.
 LISTED_PARTITIONS = 1000
+# Clustering: tasks that rows are dealt to, bits of a column's range number, rows drawn for each range.
+MOST_RANGES, MOST_BITS, DRAWN_PER_RANGE = 20_000, 10, 40
 
 
 def _split(name: str) -> tuple[str, str]:
@@ -39,6 +49,11 @@ def table_location(spark: SparkSession, name: str) -> str:
     return detail.first()["data_type"]
 
 
+def table_bytes(spark: SparkSession, name: str) -> int:
+    """Bytes of a table's files, from the file system: no file is opened."""
+    return folder_bytes(spark, table_location(spark, name))
+
+
 def _sized_for(file_bytes: int) -> dict[str, str]:
     return {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(file_bytes)}
 
@@ -51,6 +66,7 @@ def save_table(
     rebalance: bool = False,
     keep_previous: bool = True,
     file_bytes: int = FILE_BYTES,
+    most_rows: int = 0,
 ) -> None:
     """Write ``df`` as table ``name``; overwriting also replaces schema and partitioning.
 
@@ -58,7 +74,8 @@ def save_table(
     gathers each partition value's rows into files of about ``file_bytes`` and
     splits the large ones over several tasks; without it every task writes a
     file for every partition value it sees. ``keep_previous=False`` deletes
-    the replaced files, which breaks readers that still use them.
+    the replaced files, which breaks readers that still use them. A task
+    starts a new file after ``most_rows`` rows, if given.
     """
     spark = df.sparkSession
     if rebalance:
@@ -69,15 +86,17 @@ def save_table(
         if mode == "append" and spark.catalog.tableExists(name):
             df.write.mode("append").partitionBy(*partition_columns(spark, name)).saveAsTable(name)
         else:
-            _write_and_swap(df, name, partition_by, keep_previous)
+            _write_and_swap(df, name, partition_by, keep_previous, most_rows)
 
 
-def _write_and_swap(df: DataFrame, name: str, partition_by: Sequence[str], keep_previous: bool) -> None:
+def _write_and_swap(
+    df: DataFrame, name: str, partition_by: Sequence[str], keep_previous: bool, most_rows: int
+) -> None:
     spark = df.sparkSession
     database, table = _split(name)
     fresh = f"{table}__{uuid.uuid4().hex}"
     root = spark.catalog.getDatabase(database).locationUri.rstrip("/")
-    writer = df.write.format("parquet").option("path", f"{root}/{fresh}")
+    writer = df.write.format("parquet").option("path", f"{root}/{fresh}").option("maxRecordsPerFile", most_rows)
     writer.partitionBy(*partition_by).saveAsTable(f"{database}.{fresh}")
     replaced = table_location(spark, name) if spark.catalog.tableExists(name) else None
     spark.sql(f"DROP TABLE IF EXISTS {database}.{table}")
@@ -98,13 +117,14 @@ def merge_rows(
     keys: Sequence[str],
     null_safe: bool = False,
     delete_missing: bool = False,
+    drop_unknown: bool = False,
 ) -> DataFrame:
     """Target rows whose key is not in ``updates``, and all of ``updates``.
 
     With the default plain equality a NULL key matches nothing: the target's
     row stays and the update is added beside it.
     """
-    updates = _aligned(updates, target)
+    updates = _aligned(updates, target, drop_unknown)
     if delete_missing:
         return updates
     matched = _same_key("t", "u", keys, null_safe)
@@ -112,7 +132,11 @@ def merge_rows(
     return kept.unionByName(updates)
 
 
-def _aligned(updates: DataFrame, target: DataFrame) -> DataFrame:
+def _aligned(updates: DataFrame, target: DataFrame, drop_unknown: bool = False) -> DataFrame:
+    """``updates`` with the columns and types of ``target``; a column that it lacks is an error unless dropped."""
+    unknown = [c for c in updates.columns if c not in target.columns]
+    if unknown and not drop_unknown:
+        raise ValueError(f"the table lacks the update columns {unknown}; drop_unknown=True leaves them out")
     return updates.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in target.schema])
 
 
@@ -157,43 +181,90 @@ def upsert(
     only_changed: bool = False,
     partition_by: Sequence[str] = (),
     keep_previous: bool = True,
+    drop_unknown: bool = False,
 ) -> None:
     """Create table ``name`` from ``updates``, or merge them in by ``keys``.
 
     Matching rows are replaced whole, new keys are added, other rows stay
     (unless ``delete_missing``). Two update rows with one key are an error,
-    raised before anything is written. ``only_changed`` leaves out update rows
-    that the table already holds, and writes nothing if none remains. Where
-    the keys cover the table's partition columns, only the partitions that
-    occur in ``updates`` are read and rewritten.
+    raised before anything is written, on the first run too. So are columns
+    that the table lacks, unless ``drop_unknown`` leaves them out.
+    ``only_changed`` leaves out update rows that the table already holds, and
+    writes nothing if none remains.
+
+    Where the keys cover the table's partition columns, only the partitions
+    that occur in ``updates`` are read and rewritten; so large tables should be
+    partitioned by a part of their key, others are rewritten whole. Upserts of
+    different partitions may run side by side.
     """
     spark = updates.sparkSession
     if not spark.catalog.tableExists(name):
-        save_table(updates, name, partition_by=partition_by)
+        with staged(updates) as fixed:
+            _reject_repeated_keys(fixed, keys, null_safe)
+            save_table(fixed, name, partition_by=partition_by)
         return
     target = spark.table(name)
-    with staged(_aligned(updates, target)) as fixed:
+    with staged(_aligned(updates, target, drop_unknown)) as fixed:
         _reject_repeated_keys(fixed, keys, null_safe)
-        if only_changed and not delete_missing:
-            same = _same_key("u", "t", target.columns, True)
-            fixed = fixed.alias("u").join(target.alias("t"), same, "left_anti")
-            if fixed.isEmpty():
-                return
-        parts = partition_columns(spark, name)
-        if parts and set(parts) <= set(keys) and not delete_missing:
-            touched = _touched(target, fixed, parts)
-            with staged(merge_rows(touched, fixed, keys, null_safe)) as merged:
-                _overwrite_partitions(merged.select(*target.columns), name, parts)
-        else:
-            merged = merge_rows(target, fixed, keys, null_safe, delete_missing)
-            save_table(merged, name, partition_by=parts, keep_previous=keep_previous)
+        if not only_changed or delete_missing:
+            _merge_into(fixed, target, name, keys, null_safe, delete_missing, keep_previous)
+            return
+        same = _same_key("u", "t", target.columns, True)
+        with staged(fixed.alias("u").join(target.alias("t"), same, "left_anti")) as changed:
+            if not changed.isEmpty():
+                _merge_into(changed, target, name, keys, null_safe, False, keep_previous)
 
 
-def _overwrite_partitions(df: DataFrame, name: str, parts: Sequence[str]) -> None:
-    """Replace the partitions that occur in ``df`` and no others."""
-    wanted = {"spark.sql.sources.partitionOverwriteMode": "dynamic", **_sized_for(FILE_BYTES)}
-    with settings(df.sparkSession, wanted):
-        df.hint("rebalance", *parts).write.insertInto(name, overwrite=True)
+def _merge_into(
+    fixed: DataFrame,
+    target: DataFrame,
+    name: str,
+    keys: Sequence[str],
+    null_safe: bool,
+    delete_missing: bool,
+    keep_previous: bool,
+) -> None:
+    parts = partition_columns(target.sparkSession, name)
+    if parts and set(parts) <= set(keys) and not delete_missing:
+        touched = _touched(target, fixed, parts)
+        _overwrite_partitions(merge_rows(touched, fixed, keys, null_safe).select(*target.columns), name, parts)
+    else:
+        merged = merge_rows(target, fixed, keys, null_safe, delete_missing)
+        save_table(merged, name, partition_by=parts, keep_previous=keep_previous)
+
+
+def _overwrite_partitions(
+    df: DataFrame, name: str, parts: Sequence[str], file_bytes: int = FILE_BYTES
+) -> None:
+    """Replace the partitions that occur in ``df`` and no others.
+
+    The rows are written to the shared folder first, since ``df`` may read what
+    it replaces. Which partitions go is a setting, so the write has a session
+    of its own, whose settings no other thread can change. If the write fails,
+    partitions may be half replaced; the written copy then stays and the error
+    names it.
+    """
+    spark = df.sparkSession
+    copy = fresh_path(spark, "stage")
+    df.write.parquet(copy)
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    own.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(file_bytes))
+    own.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    own.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        rows = own.read.schema(df.schema).parquet(copy)
+        rows.hint("rebalance", *parts).write.insertInto(name, overwrite=True)
+    except Exception as error:
+        raise RuntimeError(f"replacing partitions of {name} failed; their new rows are kept in {copy}") from error
+    spark.catalog.refreshTable(name)
+    remove_path(spark, copy)
+
+
+def replace_partitions(df: DataFrame, name: str) -> None:
+    """Replace the partitions of table ``name`` that occur in ``df``; columns go by name."""
+    spark = df.sparkSession
+    _overwrite_partitions(df.select(*spark.table(name).columns), name, partition_columns(spark, name))
 
 
 def _touched(target: DataFrame, updates: DataFrame, parts: Sequence[str]) -> DataFrame:
@@ -209,27 +280,50 @@ def _touched(target: DataFrame, updates: DataFrame, parts: Sequence[str]) -> Dat
     return target.filter(reduce(lambda a, b: a | b, one_of, F.lit(False)))
 
 
+def remove_replaced(spark: SparkSession, database: str, min_age_hours: float = 24.0) -> list[str]:
+    """Delete the folders of replaced tables below a database's location; returns what went.
+
+    Folders of its tables, and folders younger than ``min_age_hours``, stay:
+    a reader that started before a replacement still uses the old files, and a
+    writer that has not put its table in place yet is new.
+    """
+    root = spark.catalog.getDatabase(database).locationUri
+    live = [table_location(spark, f"{database}.{t.name}") for t in spark.catalog.listTables(database) if not t.isTemporary]
+    return remove_old(spark, root, keep=live, min_age_hours=min_age_hours)
+
+
+def _small_partitions(spark: SparkSession, name: str, parts: Sequence[str], file_bytes: int) -> DataFrame:
+    """Partition values with several files of less than half of ``file_bytes`` on average, from file listings."""
+    each = spark.table(name).select(*parts, "_metadata.file_path", "_metadata.file_size").distinct()
+    sized = each.groupBy(*parts).agg(F.count(F.lit(1)).alias("files"), F.avg("file_size").alias("mean"))
+    return sized.filter((F.col("files") > 1) & (F.col("mean") < file_bytes / 2)).select(*parts)
+
+
 def compact_table(
     spark: SparkSession, name: str, file_bytes: int = FILE_BYTES, keep_previous: bool = True
 ) -> None:
-    """Rewrite a table into files of about ``file_bytes``; rows and schema stay.
+    """Rewrite what has small files into files of about ``file_bytes``; rows and schema stay.
 
-    One read, one shuffle, one write. The rebalance gathers small partitions
-    and splits large ones by measured size, so one huge partition value is
-    spread over many tasks.
+    Of a partitioned table only partitions with several small files are read
+    and rewritten, the others keep their files. One read, one shuffle and (for
+    partitions, which are replaced in place) one copy. The rebalance splits
+    large partitions by measured size, so one huge value spreads over tasks.
+    An unpartitioned table is rewritten whole, if its files are small.
     """
     # File size goes before parallelism here; elsewhere the shuffles ahead of
     # the write would lose their parallelism too.
     by_size = settings(spark, {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"})
-    with by_size, shuffle_sized(spark, size_in_bytes(spark.table(name))):
-        save_table(
-            spark.table(name),
-            name,
-            partition_by=partition_columns(spark, name),
-            rebalance=True,
-            keep_previous=keep_previous,
-            file_bytes=file_bytes,
-        )
+    parts = partition_columns(spark, name)
+    table = spark.table(name)
+    with by_size, shuffle_sized(spark, table_bytes(spark, name)):
+        if parts:
+            with staged(_small_partitions(spark, name, parts, file_bytes)) as small:
+                if not small.isEmpty():
+                    _overwrite_partitions(_touched(table, small, parts), name, parts, file_bytes)
+            return
+        count, mean = file_sizes(spark, name).agg(F.count(F.lit(1)), F.avg("file_size")).first()
+        if count > 1 and mean < file_bytes / 2:
+            save_table(table, name, rebalance=True, keep_previous=keep_previous, file_bytes=file_bytes)
 
 
 def file_sizes(spark: SparkSession, name: str) -> DataFrame:
@@ -238,12 +332,6 @@ def file_sizes(spark: SparkSession, name: str) -> DataFrame:
     return source.groupBy("file_path", "file_size").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def size_in_bytes(table: DataFrame) -> int:
-    """Bytes of the files a table scan reads from; no row and no column is read."""
-    each = table.select("_metadata.file_path", "_metadata.file_size").distinct()
-    return each.agg(F.sum("file_size")).first()[0] or 0
-
-
 def table_detail(spark: SparkSession, name: str) -> DataFrame:
     """One row: name, location, partition columns, files, bytes, rows."""
     parts = F.array(*[F.lit(c) for c in partition_columns(spark, name)]).cast("array<string>")
@@ -258,48 +346,56 @@ def table_detail(spark: SparkSession, name: str) -> DataFrame:
     )
 
 
-def _range_bounds(df: DataFrame, column: str, buckets: int) -> list:
-    """Upper bounds of ``buckets`` ranges with about equally many distinct values.
+def _range_bounds(df: DataFrame, columns: Sequence[str], ranges: int) -> dict[str, list]:
+    """Upper bounds of about ``ranges`` ranges of each column, with about equally many values of a sample.
 
-    Works for any orderable type: the distinct values are range-partitioned
-    and each partition reports its largest one, so at most ``buckets`` values
-    reach the driver, however many the column has.
+    One pass draws rows for all columns; as many reach the driver as the
+    ranges ask for, however large the table. Works for any orderable type.
     """
-    distinct = df.select(column).dropna().distinct()
-    ranged = distinct.repartitionByRange(buckets, column).select(column, F.spark_partition_id().alias("part"))
-    tops = ranged.groupBy("part").agg(F.max(column).alias("top")).collect()
-    return sorted(row["top"] for row in tops)
-
-
-def _leaf_of(column: Column, bounds: Sequence, leaves: Sequence[int]) -> Column:
-    """``leaves[i]`` for the range ``column`` falls in (NULL: the first), by a balanced decision tree."""
-    if len(bounds) <= 1:
-        return F.lit(leaves[0]).cast("bigint")
-    middle = len(bounds) // 2
-    above = column > F.lit(bounds[middle - 1])
-    return F.when(above, _leaf_of(column, bounds[middle:], leaves[middle:])).otherwise(
-        _leaf_of(column, bounds[:middle], leaves[:middle])
+    wanted = ranges * DRAWN_PER_RANGE
+    share = min(1.0, 1.2 * wanted / max(1, df.count()))  # row counts come from the files' footers
+    drawn = df.select(*columns).sample(share, seed=1).limit(2 * wanted).collect()
+    bounds = {}
+    for name in columns:
+        values = sorted({r[name] for r in drawn if r[name] is not None and r[name] == r[name]})
+        bounds[name] = values[:: max(1, len(values) // ranges)][1:]
+    return bounds
+
+
+def _range_of(column: Column, bounds: Sequence, kind: str) -> Column:
+    """How many of the sorted ``bounds`` are at most ``column``, by binary search; 0 for NULL."""
+    if not bounds:
+        return F.lit(0).cast("bigint")
+    held = F.array(*[F.lit(b).cast(kind) for b in bounds])
+    steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
+    return F.aggregate(
+        F.array(*map(F.lit, steps)).cast("array<bigint>"),
+        F.lit(0).cast("bigint"),
+        lambda low, step: F.when(F.get(held, low + step - 1) <= column, low + step).otherwise(low),
     )
 
 
-def _spread(number: int, bits: int, stride: int, offset: int) -> int:
-    return sum((number >> bit & 1) << (bit * stride + offset) for bit in range(bits))
+def _spread(number: Column, bits: int, stride: int, offset: int) -> Column:
+    """The low ``bits`` of ``number``, ``stride`` places apart."""
+    one = [F.shiftleft(F.shiftright(number, i).bitwiseAND(F.lit(1).cast("bigint")), i * stride + offset) for i in range(bits)]
+    return reduce(lambda a, b: a.bitwiseOR(b), one)
 
 
 def z_value(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
-    """Bit-interleaved range numbers of ``columns``: near in all columns means near in value.
-
-    A range number is a constant once its bounds are known, so its bits are
-    spread here and the rows only run comparisons and one ``|`` per column.
-    """
+    """Bit-interleaved range numbers of ``columns``: near in all columns means near in value."""
+    kinds, bounds = dict(df.dtypes), _range_bounds(df, columns, 2**bits)
     z = F.lit(0).cast("bigint")
     for offset, name in enumerate(columns):
-        bounds = _range_bounds(df, name, 2**bits)
-        leaves = [_spread(i, bits, len(columns), offset) for i in range(max(1, len(bounds)))]
-        z = z.bitwiseOR(_leaf_of(F.col(name), bounds, leaves))
+        number = _range_of(F.col(name), bounds[name], kinds[name])
+        z = z.bitwiseOR(_spread(number, bits, len(columns), offset))
     return z
 
 
+def z_bits(files: int, columns: int) -> int:
+    """Bits per column: some sixteen cells for each file, between 6 and ``MOST_BITS`` bits a column."""
+    return max(6, min(MOST_BITS, -(-(files.bit_length() + 4) // columns)))
+
+
 def cluster_table(
     spark: SparkSession,
     name: str,
@@ -311,20 +407,24 @@ def cluster_table(
     """Rewrite a table so that rows close in ``columns`` share files; rows stay.
 
     One column is range-partitioned and sorted as is; several go through
-    :func:`z_value`. The row's file position ends the range key: it lets rows
-    with equal clustering values, however many, spread over several tasks,
-    and it is the same when a lost task runs again. The range partitioner
-    samples its input, so the table is read twice.
+    :func:`z_value`, with more ranges the more files there are. The row's file
+    position ends the range key: it lets rows with equal clustering values,
+    however many, spread over several tasks, and it is the same when a lost
+    task runs again. At most ``MOST_RANGES`` tasks share the rows, each of
+    which writes several files in order if there are more. The table is read
+    three times at most: for the bounds, by the range partitioner's sample, and
+    for the write.
     """
     table = spark.table(name)
     parts = partition_columns(spark, name)
     if files is None:
-        files = max(1, -(-size_in_bytes(table) // file_bytes))
+        files = max(1, -(-table_bytes(spark, name) // file_bytes))
     # A table of one file is only sorted; there is nothing to lay out.
     several = len(columns) > 1 and files > 1
-    place = z_value(table, columns) if several else F.col(columns[0])
+    place = z_value(table, columns, z_bits(files, len(columns))) if several else F.col(columns[0])
     position = F.xxhash64("_metadata.file_path", "_metadata.row_index")
     keyed = table.withColumns({"__place": place, "__position": position})
-    ranged = keyed.repartitionByRange(files, *parts, "__place", "__position")
+    ranged = keyed.repartitionByRange(min(files, MOST_RANGES), *parts, "__place", "__position")
     arranged = ranged.sortWithinPartitions(*parts, "__place", *columns).select(*table.columns)
-    save_table(arranged, name, partition_by=parts, keep_previous=keep_previous)
+    limit = -(-table.count() // files) if files > MOST_RANGES else 0
+    save_table(arranged, name, partition_by=parts, keep_previous=keep_previous, most_rows=limit)

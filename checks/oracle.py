@@ -232,6 +232,38 @@ def _merged(mart, keys: list[str]) -> str:
     )
 
 
+def _side_by_side(source: str) -> str:
+    marts = {
+        "condition_summary": condition_mart(source, "first"),
+        "billing_summary": billing_mart(source),
+        "patient_demographics": demographics_mart(source),
+    }
+    return " UNION ALL BY NAME ".join(f"SELECT *, '{name}' AS mart FROM ({sql})" for name, sql in marts.items())
+
+
+_SOME = "(SELECT * REPLACE (CASE WHEN admission_id % 5 > 0 THEN medical_condition END AS medical_condition) FROM base)"
+_ODD = "admission_type IN ('1-URGENT', '3-MEDIUM', '5-LOW')"
+_TIED = (
+    f"tied AS (SELECT * REPLACE (CASE WHEN {_ODD} THEN 'odd' ELSE 'even' END AS admission_type) FROM {_SOME} UNION ALL "
+    f"SELECT * REPLACE (CASE WHEN {_ODD} THEN 'even' ELSE 'odd' END AS admission_type) FROM {_SOME})"
+)
+_GENDER = "CASE WHEN gender <> 'UN' THEN gender END AS gender"
+
+
+def _null_safe_merged() -> str:
+    keys = ("age_group", "gender", "medical_condition")
+    same = " AND ".join(f"u.{k} IS NOT DISTINCT FROM t.{k}" for k in keys)
+    return over(
+        "base",
+        f"SELECT * FROM u UNION ALL BY NAME SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM u WHERE {same})",
+        *_LOADS,
+        *[
+            f"{short} AS ({demographics_mart(f'(SELECT * REPLACE ({_GENDER}) FROM {load})')})"
+            for short, load in (("t", "first_load"), ("u", "second_load"))
+        ],
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     adm = "SELECT {} FROM adm".format
     csv_types = {
@@ -549,6 +581,40 @@ def oracle_sql() -> dict[str, str]:
         "compact_rows_preserved": over("silver", "SELECT * EXCLUDE (_ingested_at) FROM silver"),
         "cluster_single_col": over("base", condition_mart("base", "first")),
         "cluster_zorder_two_cols": over("silver", "SELECT * EXCLUDE (_ingested_at) FROM silver"),
+        "upsert_null_safe": _null_safe_merged(),
+        "upsert_delete_missing": over("base", billing_mart("second_load"), *_LOADS),
+        "table_detail": over(
+            "silver",
+            "SELECT 'parquet' AS format, '_ingest_date,medical_condition' AS partition_columns, count(*) AS num_rows, "
+            "true AS has_files, true AS has_bytes, true AS in_database FROM silver",
+        ),
+        "dedupe_same_survivors": over(
+            "uniq",
+            "SELECT count(*) AS survivors, cast(0 AS bigint) AS only_plain, cast(0 AS bigint) AS only_stored FROM uniq",
+        ),
+        "mode_ties_tied": over(
+            "base",
+            "SELECT medical_condition, admission_type AS most_common_admission_type FROM "
+            "(SELECT medical_condition, admission_type, count(*) AS n FROM tied GROUP BY ALL) "
+            "QUALIFY rank() OVER (PARTITION BY medical_condition ORDER BY n DESC) = 1",
+            _TIED,
+        ),
+        "condition_summary_tied": over("base", condition_mart("tied"), _TIED),
+        "record_hash_safe": over(
+            "adm",
+            "SELECT count(DISTINCT admission_id) AS plain_hashes, count(DISTINCT (admission_id, age, gender, blood_type))"
+            " AS safe_hashes FROM (SELECT admission_id, age, gender, blood_type FROM adm UNION ALL SELECT admission_id, "
+            "coalesce(age, ''), coalesce(gender, ''), coalesce(blood_type, '') FROM adm)",
+        ),
+        "rollup_weighted_avg": over(
+            "base",
+            "SELECT age_group, cast(cast("
+            + _half_up("(sum(avg_billing_amount * total_patients) * 100)", "cast(sum(total_patients) AS hugeint)", 1)
+            + " AS decimal(18,0)) * cast(0.01 AS decimal(3,2)) AS decimal(18,2)) AS avg_bill "
+            f"FROM ({billing}) GROUP BY age_group",
+        ),
+        "marts_from_cells_all": over("base", _side_by_side("base")),
+        "medallion_recovery": over("base", _side_by_side("base")),
         # layers
         "medallion_end_to_end": over("base", condition_mart("base", "first")),
         "medallion_incremental": over("base", condition_mart("base", "first")),

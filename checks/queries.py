@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cache
+from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -285,6 +285,27 @@ def dedupe_stored(spark, sf_dir):
     return unique.drop("_ingested_at")
 
 
+@query
+def dedupe_same_survivors(spark, sf_dir):
+    """Copies that differ outside the hash, and in NULL against '': both ways have to keep the same rows."""
+    rows = _bronze(spark, sf_dir).withColumn("note", F.when(F.col("admission_id") % 2 == 0, F.lit("")))
+    other = rows.withColumns(
+        {"note": F.when(F.col("note").isNull(), F.lit("")), "_source_file": F.concat("_source_file", F.lit("2"))}
+    )
+    name = f"{scratch_database(spark)}.bronze"
+    tables.save_table(rows.unionByName(other), name)
+    keys = (["_record_hash"], ["_ingested_at", "_batch_id"])
+    plain = quality.dedupe(other.unionByName(rows).repartition(7, "note"), *keys)
+    by_place = quality.dedupe_stored(spark.table(name), *keys)
+    both = plain.withColumn("how", F.lit(1)).unionByName(by_place.withColumn("how", F.lit(2)))
+    per_row = both.groupBy(*plain.columns).agg(F.sum("how").alias("hows"))
+    return per_row.agg(
+        F.count(F.lit(1)).alias("survivors"),
+        F.count_if(F.col("hows") == 1).alias("only_plain"),
+        F.count_if(F.col("hows") == 2).alias("only_stored"),
+    )
+
+
 @query
 def dedupe_report(spark, sf_dir):
     return quality.dedupe_report(_bronze(spark, sf_dir), ["_record_hash"])
@@ -376,6 +397,44 @@ def join_left_using(spark, sf_dir):
     return S.summary_from_cells(cells, [key], [n]).join(modes, on=key, how="left")
 
 
+def _tied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base twice with two admission types that trade places, so that they tie; some conditions NULL."""
+    base = _base(spark, sf_dir).withColumn(
+        "medical_condition", F.when(F.col("admission_id") % 5 > 0, F.col("medical_condition"))
+    )
+    odd = F.col("admission_type").isin("1-URGENT", "3-MEDIUM", "5-LOW")
+    first = base.withColumn("admission_type", F.when(odd, F.lit("odd")).otherwise("even"))
+    second = base.withColumn("admission_type", F.when(odd, F.lit("even")).otherwise("odd"))
+    return first.unionByName(second)
+
+
+@query
+def mode_ties_tied(spark, sf_dir):
+    return S.mode_per_group(_tied(spark, sf_dir), ["medical_condition"], "admission_type", gold.MODE)
+
+
+@query
+def condition_summary_tied(spark, sf_dir):
+    return gold.condition_summary(_tied(spark, sf_dir))
+
+
+@query
+def record_hash_safe(spark, sf_dir):
+    """How many hashes tell NULL from '' that the default hash does not; rows whose NULLs become ''."""
+    columns = ["admission_id", "age", "gender", "blood_type"]
+    rows = admissions(spark, sf_dir).select(*columns)
+    filled = rows.select("admission_id", *[F.coalesce(c, F.lit("")).alias(c) for c in columns[1:]])
+    both = rows.unionByName(filled)
+    hashed = both.select(record_hash(columns).alias("plain"), record_hash(columns, safe=True).alias("safe"))
+    return hashed.agg(F.countDistinct("plain").alias("plain_hashes"), F.countDistinct("safe").alias("safe_hashes"))
+
+
+@query
+def rollup_weighted_avg(spark, sf_dir):
+    mart = gold.billing_summary(_base(spark, sf_dir))
+    return S.roll_up_mean(mart, ["age_group"], "avg_billing_amount", "avg_bill", weight="total_patients")
+
+
 # ---- sorts, limits --------------------------------------------------------
 
 
@@ -418,6 +477,17 @@ def marts_from_cells(spark, sf_dir):
     return gold.marts_from_cells(gold.mart_cells(_base(spark, sf_dir)))["billing_summary"]
 
 
+def _side_by_side(marts: dict[str, DataFrame]) -> DataFrame:
+    """All marts as one table; columns that a mart lacks are NULL."""
+    named = [mart.withColumn("mart", F.lit(name)) for name, mart in marts.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
+
+
+@query
+def marts_from_cells_all(spark, sf_dir):
+    return _side_by_side(gold.marts_from_cells(gold.mart_cells(_base(spark, sf_dir))))
+
+
 # ---- insights -------------------------------------------------------------
 
 
@@ -502,7 +572,15 @@ def validate_roundtrip(spark, sf_dir):
 def table_detail(spark, sf_dir):
     name = f"{scratch_database(spark)}.admissions"
     tables.save_table(_silver(spark, sf_dir), name, partition_by=K.SILVER_PARTITIONS, rebalance=True)
-    return tables.table_detail(spark, name)
+    detail = tables.table_detail(spark, name)
+    return detail.select(
+        "format",
+        F.array_join("partition_columns", ",").alias("partition_columns"),
+        "num_rows",
+        (F.col("num_files") > 0).alias("has_files"),
+        (F.col("size_in_bytes") > F.col("num_files")).alias("has_bytes"),
+        F.col("location").contains(name.split(".")[0]).alias("in_database"),
+    )
 
 
 # ---- upserts --------------------------------------------------------------
@@ -550,6 +628,16 @@ _QUERIES.update(
 )
 
 
+def _some_null(mart: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
+    return lambda load: mart(load.withColumn("gender", F.when(F.col("gender") != "UN", F.col("gender"))))
+
+
+_QUERIES.update(
+    upsert_null_safe=_upserted(_some_null(gold.patient_demographics), K.DEMOGRAPHIC_KEYS, null_safe=True),
+    upsert_delete_missing=_upserted(gold.billing_summary, K.BILLING_KEYS, delete_missing=True),
+)
+
+
 @query
 def upsert_report(spark, sf_dir):
     first, second = (gold.billing_summary(load) for load in _two_loads(spark, sf_dir))
@@ -622,6 +710,21 @@ def medallion_incremental(spark, sf_dir):
     return spark.table(layout.mart("condition_summary"))
 
 
+@query
+def medallion_recovery(spark, sf_dir):
+    """A batch that reached bronze only, then one that is refreshed: both are in all three marts."""
+    database = scratch_database(spark)
+    layout = medallion.Layout(bronze=database, silver=database, gold=database, keep_previous=False)
+    day, rows = F.col("date_of_admission"), admissions(spark, sf_dir)
+    loads = [rows.filter(day < FIRST_LOAD_BEFORE), rows.filter((day >= FIRST_LOAD_BEFORE) & (F.col("admission_id") % 2 == 0))]
+    loads.append(rows.filter((day >= FIRST_LOAD_BEFORE) & (F.col("admission_id") % 2 > 0)))
+    options = {"schema": "string", "mode": "append", "ingested_at": _ingested_at()}
+    medallion.refresh(spark, _csv(loads[0]), layout, cluster=False, incremental=True, batch_id="1", **options)
+    medallion.ingest(spark, _csv(loads[1]), layout, batch_id="2", **options)
+    medallion.refresh(spark, _csv(loads[2]), layout, cluster=False, incremental=True, batch_id="3", **options)
+    return _side_by_side({name: spark.table(layout.mart(name)) for name in gold.MART_KEYS})
+
+
 @cache
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)

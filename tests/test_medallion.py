@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from caselake.plans import gold, medallion, silver
-from caselake.session import fresh_path, shared_dir, shuffle_sized
+from caselake.session import fresh_path, remove_old_stages, shared_dir, shuffle_sized
+from caselake.sinks.tables import remove_replaced, save_table
 
 HEADER = (
     "Name,Age,Gender,Blood Type,Medical Condition,Date of Admission,Discharge Date,Hospital,"
@@ -128,7 +129,7 @@ def test_a_batch_reads_only_its_rows_and_known_hashes(spark, layout, tmp_path):
     batch = spark.table(layout.raw_table).filter(F.col("_batch_id") == "x")
     known = spark.table(layout.clean_table).select("_record_hash")
     text = silver.to_silver(batch).join(known, "_record_hash", "left_anti")._jdf.queryExecution().toString()
-    assert "EqualTo(_batch_id,x)" in text and "ReadSchema: struct<_record_hash:string>" in text
+    assert "PartitionFilters: [isnotnull(_batch_id" in text and "ReadSchema: struct<_record_hash:string>" in text
 
 
 def test_groups_that_vanish_stay(spark, layout, tmp_path):
@@ -160,3 +161,58 @@ def test_shuffles_are_sized_upwards_only(spark):
 def test_shared_dir_comes_from_the_session(spark):
     assert fresh_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert spark.range(1).select(F.lit(1)).count() == 1
+
+
+def test_incremental_runs_only_append(spark, layout, tmp_path):
+    source = feed(tmp_path / "a", ROWS)
+    for options in ({}, {"mode": "overwrite"}):
+        with pytest.raises(ValueError, match="append"):
+            medallion.refresh(spark, source, layout, incremental=True, schema="string", **options)
+    assert not spark.catalog.databaseExists(layout.bronze) or not spark.catalog.tableExists(layout.raw_table)
+
+
+def test_a_batch_left_behind_is_refined_by_the_next_run(spark, layout, tmp_path):
+    options = {"schema": "string", "mode": "append"}
+    medallion.refresh(spark, feed(tmp_path / "a", ROWS[:2]), layout, cluster=False, incremental=True, batch_id="1", **options)
+    medallion.ingest(spark, feed(tmp_path / "b", ROWS[2:4]), layout, batch_id="2", **options)
+    medallion.refresh(spark, feed(tmp_path / "c", ROWS[4:]), layout, cluster=False, incremental=True, batch_id="3", **options)
+    step_by_step = marts(spark, layout)
+    assert spark.table(layout.clean_table).count() == len(ROWS)
+    assert sorted(r[0] for r in spark.table(layout.ledger).collect()) == ["1", "2", "3"]
+    assert medallion.refine_batches(spark, layout) == []
+    medallion.update(spark, layout, cluster=False)
+    assert marts(spark, layout) == step_by_step
+
+
+def test_a_batch_noted_too_late_is_not_added_twice(spark, layout, tmp_path):
+    options = {"schema": "string", "mode": "append", "cluster": False, "incremental": True}
+    medallion.refresh(spark, feed(tmp_path / "a", ROWS), layout, batch_id="1", **options)
+    before = marts(spark, layout)
+    save_table(spark.table(layout.ledger).limit(0), layout.ledger)
+    assert medallion.refine_batches(spark, layout) == ["1"]
+    medallion.summarize(spark, layout, cluster=False, batches=["1"])
+    assert spark.table(layout.clean_table).count() == len(ROWS) and marts(spark, layout) == before
+
+
+def test_new_cells_read_only_the_new_batches_of_silver(spark, layout, tmp_path, monkeypatch):
+    options = {"schema": "string", "mode": "append", "cluster": False, "incremental": True}
+    medallion.refresh(spark, feed(tmp_path / "a", ROWS[:2]), layout, batch_id="1", **options)
+    plans = []
+    real = medallion.replace_partitions
+    monkeypatch.setattr(medallion, "replace_partitions", lambda df, name: (plans.append(df._jdf.queryExecution().toString()), real(df, name)))
+    medallion.refresh(spark, feed(tmp_path / "b", ROWS[2:]), layout, batch_id="2", **options)
+    (plan,) = plans
+    assert "EqualTo(_batch_id,2)" in plan or "In(_batch_id, [2])" in plan
+    hashes = spark.table(layout.raw_table).filter("_batch_id = '2'")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(_batch_id" in hashes
+
+
+def test_only_live_tables_remain_after_cleaning(spark, layout, tmp_path):
+    source = feed(tmp_path / "a", ROWS)
+    for batch in "123":
+        medallion.refresh(spark, source, layout, cluster=False, schema="string", mode="append", batch_id=batch)
+    gone = [x for name in {layout.bronze, layout.silver, layout.gold} for x in remove_replaced(spark, name, min_age_hours=0)]
+    assert gone and marts(spark, layout)
+    assert [x for name in {layout.bronze, layout.silver, layout.gold} for x in remove_replaced(spark, name, 0)] == []
+    remove_old_stages(spark, min_age_hours=0)
+    assert spark.table(layout.clean_table).count() == len(ROWS)

@@ -98,12 +98,14 @@ def test_dedupe_stored_agrees_with_dedupe(spark, database, listed):
     df = spark.range(0, 3000, 1, 6).selectExpr(
         "if(id % 3 = 0, 'hot', if(id % 100 = 1, null, string(id % 1000))) AS h",
         "if(id % 7 = 0, null, int(id % 5)) AS batch",
-        "'x' AS v",
+        "if(id % 2 = 0, null, '') AS v",
+        "if(id % 2 = 0, '', null) AS w",
+        "concat('file', id % 11) AS source",
     )
     rows = stored(spark, database, df)
     found = quality.dedupe_stored(rows, ["h"], ["batch"], listed=listed)
-    assert found.columns == ["h", "batch", "v"]
-    expected = quality.dedupe(df, ["h"], ["batch"])
+    assert found.columns == ["h", "batch", "v", "w", "source"]
+    expected = quality.dedupe(df.orderBy(F.desc("source")).repartition(3), ["h"], ["batch"])
     assert sorted(map(repr, found.collect())) == sorted(map(repr, expected.collect()))
 
 

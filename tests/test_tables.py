@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,11 +146,54 @@ def test_a_missing_column_is_an_error_and_types_follow_the_table(spark, database
     tables.upsert(kv(spark, ("a", 1)), name, ["k"])
     with pytest.raises(Exception, match="v"):
         tables.upsert(kv(spark, ("a", 1)).drop("v"), name, ["k"])
-    tables.upsert(spark.createDataFrame([("a", 7, "more")], "k string, v bigint, extra string"), name, ["k"])
+    wider = spark.createDataFrame([("a", 7, "more")], "k string, v bigint, extra string")
+    with pytest.raises(ValueError, match="extra"):
+        tables.upsert(wider, name, ["k"])
+    assert pairs(spark, name) == [("a", 1)]
+    tables.upsert(wider, name, ["k"], drop_unknown=True)
     assert spark.table(name).dtypes == [("k", "string"), ("v", "int")]
     assert pairs(spark, name) == [("a", 7)]
 
 
+def test_repeated_keys_are_refused_on_the_first_run_too(spark, database):
+    with pytest.raises(ValueError, match="share one key"):
+        tables.upsert(kv(spark, ("a", 1), ("a", 2)), f"{database}.t", ["k"])
+    assert not spark.catalog.tableExists(f"{database}.t")
+
+
+def test_partitioned_upserts_side_by_side_leave_other_partitions(spark, database):
+    name, schema = f"{database}.t", "p string, k int, v int"
+    tables.upsert(spark.range(400).selectExpr("string(id % 8) AS p", "int(id) AS k", "0 AS v"), name, ["p", "k"], partition_by=["p"])
+    one, two = (spark.createDataFrame([(p, int(p), 1)], schema) for p in ("1", "2"))
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda rows: tables.upsert(rows, name, ["p", "k"]), (one, two)))
+    assert spark.table(name).count() == 400 and spark.table(name).filter("v = 1").count() == 2
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+def test_a_failed_partition_write_keeps_the_new_rows(spark, database, monkeypatch):
+    name = f"{database}.t"
+    tables.upsert(spark.sql("SELECT 'p' AS p, 'a' AS k, 1 AS v"), name, ["p", "k"], partition_by=["p"])
+
+    def fail(*args, **kwargs):
+        raise OSError("full")
+
+    monkeypatch.setattr("pyspark.sql.readwriter.DataFrameWriter.insertInto", fail)
+    with pytest.raises(RuntimeError, match="kept in") as error:
+        tables.upsert(spark.sql("SELECT 'p' AS p, 'b' AS k, 2 AS v"), name, ["p", "k"])
+    kept = spark.read.parquet(str(error.value).rpartition(" ")[2])
+    assert sorted(r.k for r in kept.collect()) == ["a", "b"]
+
+
+def test_replaced_tables_are_removed_by_age(spark, database):
+    name = f"{database}.t"
+    for value in (1, 2, 3):
+        tables.save_table(kv(spark, ("a", value)), name)
+    assert tables.remove_replaced(spark, database) == []
+    assert len(tables.remove_replaced(spark, database, min_age_hours=0)) == 2
+    assert pairs(spark, name) == [("a", 3)] and tables.remove_replaced(spark, database, min_age_hours=0) == []
+
+
 def test_only_changed_skips_the_write(spark, database):
     name = f"{database}.t"
     tables.upsert(kv(spark, ("a", 1), ("b", None)), name, ["k"])
@@ -209,6 +254,23 @@ def test_compaction_keeps_rows_and_reduces_files(spark, database):
     assert content(spark.table(name)) == content(df)
 
 
+def test_compaction_leaves_well_filled_partitions_alone(spark, database):
+    name = f"{database}.t"
+    tables.save_table(grid(spark), name, partition_by=["p"], rebalance=True)
+    grid(spark, 90, 6).filter("p = 2").select("id", "a", "b", "p").write.mode("append").partitionBy("p").saveAsTable(name)
+    paths = tables.file_sizes(spark, name).withColumn("p", F.regexp_extract("file_path", "p=([0-9])", 1))
+    before = {r.file_path for r in paths.filter("p <> 2").collect()}
+    expected = content(spark.table(name))
+    tables.compact_table(spark, name)
+    after = paths.sparkSession.table(name).select("_metadata.file_path", "p").distinct().collect()
+    assert {r.file_path for r in after if r.p != 2} == before and sum(r.p == 2 for r in after) == 1
+    assert content(spark.table(name)) == expected
+
+
+def test_more_files_make_finer_clusters():
+    assert tables.z_bits(16, 2) == 6 and tables.z_bits(10_000, 2) == 9 and tables.z_bits(10**9, 2) == tables.MOST_BITS
+
+
 def test_compaction_of_an_unpartitioned_table(spark, database):
     name = f"{database}.t"
     df = grid(spark)
