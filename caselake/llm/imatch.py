@@ -45,15 +45,19 @@ def lexicon(docs: DataFrame, rarest: float = RAREST, commonest: float = COMMONES
 
 def _hashed(found: Column, instead: Column) -> Column:
     """The fingerprint of the lexicon terms ``found``, or of the number ``instead`` if there are none."""
-    used = F.sort_array(found)
 
-    def part(number: int) -> Column:
-        own = F.filter(used, lambda t: F.shiftright(t, 7).bitwiseAND(F.lit(SUBSETS - 1)) == number)
-        digits = F.right(F.hex(F.xxhash64(F.lit(number), own)), F.lit(DIGITS))
-        return F.when(F.size(own) > 0, digits).otherwise(_EMPTY)
+    def part(number: Column) -> Column:
+        return F.filter(found, lambda t: F.shiftright(t, 7).bitwiseAND(F.lit(SUBSETS - 1).cast("bigint")) == number)
 
+    def digits(terms: Column, number: Column) -> Column:
+        hashed = F.right(F.hex(F.xxhash64(number, F.sort_array(terms))), F.lit(DIGITS))
+        return F.when(F.size(terms) > 0, hashed).otherwise(_EMPTY)
+
+    # Each part is cut out once and sorted by itself, which is cheap: it has a term or two.
+    parts = F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), part)
     own = F.right(F.hex(F.xxhash64(instead)), F.lit(DIGITS))
-    return F.when(F.size(found) > 0, F.concat(*[part(i) for i in range(SUBSETS)])).otherwise(F.repeat(own, SUBSETS))
+    listed = F.array_join(F.transform(parts, digits), "")
+    return F.when(F.size(found) > 0, listed).otherwise(F.repeat(own, SUBSETS))
 
 
 def likeness(one: Column, other: Column) -> Column:
