@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from caselake.llm.ordered import with_running_totals
 from caselake.llm.rows import text_of
 from caselake.llm.tokens import encoder, in_groups
+from caselake.session import stage
 
 WINDOW = 4096
 # Steps of the projected gradient; the rounding after it makes up for what they leave.
@@ -188,7 +189,8 @@ def pack(
     """
     whole = F.floor(F.col("n") / window)
     rest = F.col("n") % window
-    measured = _measured(docs, tokenizer, end_id, window, keep_ids).withColumn("rest", rest)
+    # Written first: the order by length draws a sample, which would tokenize everything once more.
+    measured = stage(_measured(docs, tokenizer, end_id, window, keep_ids)).withColumn("rest", rest)
     placed = with_running_totals(
         measured, ["rest", "row"], place=(F.col("rest") > 0).cast("bigint"), full_before=whole.cast("bigint")
     )
