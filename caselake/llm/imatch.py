@@ -44,20 +44,36 @@ def lexicon(docs: DataFrame, rarest: float = RAREST, commonest: float = COMMONES
 
 
 def _hashed(found: Column, instead: Column) -> Column:
-    """The fingerprint of the lexicon terms ``found``, or of the number ``instead`` if there are none."""
+    """The fingerprint of the lexicon terms ``found``, or of the number ``instead`` if there are none.
 
-    def part(number: Column) -> Column:
-        return F.filter(found, lambda t: F.shiftright(t, 7).bitwiseAND(F.lit(SUBSETS - 1).cast("bigint")) == number)
+    A term's part is the top bits of its hash. So the sorted terms hold the
+    parts one after the other, and one pass hashes them all.
+    """
+
+    def part(term: Column) -> Column:
+        return F.shiftrightunsigned(term.bitwiseXOR(F.lit(-(2**63))), 65 - SUBSETS.bit_length()).cast("int")
+
+    def digits(number: Column) -> Column:
+        return F.right(F.concat(F.lit("0" * DIGITS), F.hex(number)), F.lit(DIGITS))
+
+    def state(at: Column, hashed: Column, written: Column) -> Column:
+        return F.struct(at.alias("at"), hashed.alias("hashed"), written.alias("written"))
+
+    def closed(s: Column) -> Column:
+        return F.when(s["at"] < 0, "").otherwise(F.concat(s["written"], digits(s["hashed"])))
+
+    def add(s: Column, term: Column) -> Column:
+        here = part(term)
+        more = state(s["at"], F.xxhash64(s["hashed"], term), s["written"])
+        gap = F.repeat(F.lit(_EMPTY), here - s["at"] - 1)
+        return F.when(here == s["at"], more).otherwise(state(here, F.xxhash64(here, term), F.concat(closed(s), gap)))
 
-    def digits(terms: Column, number: Column) -> Column:
-        hashed = F.right(F.hex(F.xxhash64(number, F.sort_array(terms))), F.lit(DIGITS))
-        return F.when(F.size(terms) > 0, hashed).otherwise(_EMPTY)
+    def finish(s: Column) -> Column:
+        return F.concat(closed(s), F.repeat(F.lit(_EMPTY), SUBSETS - 1 - s["at"]))
 
-    # Each part is cut out once and sorted by itself, which is cheap: it has a term or two.
-    parts = F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), part)
-    own = F.right(F.hex(F.xxhash64(instead)), F.lit(DIGITS))
-    listed = F.array_join(F.transform(parts, digits), "")
-    return F.when(F.size(found) > 0, listed).otherwise(F.repeat(own, SUBSETS))
+    start = state(F.lit(-1), F.lit(0).cast("bigint"), F.lit(""))
+    listed = F.aggregate(F.sort_array(found), start, add, finish)
+    return F.when(F.size(found) > 0, listed).otherwise(F.repeat(digits(F.xxhash64(instead)), SUBSETS))
 
 
 def likeness(one: Column, other: Column) -> Column:
