@@ -269,4 +269,4 @@ def extract_main_text(pages: DataFrame, model: ChainModel) -> DataFrame:
     rows = with_row(pages, html=text_of("html"))
     kind = rows.schema["row"].dataType.simpleString()
     found = rows.mapInArrow(extract, f"row {kind}, text string")
-    return unpacked(found, (), text=F.col("text"), n_chars=F.char_length("text").cast("bigint"))
+    return unpacked(found, text=F.col("text"), n_chars=F.char_length("text").cast("bigint"))

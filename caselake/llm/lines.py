@@ -61,11 +61,9 @@ def drop_shared_lines(
     met = rows.join(lost.alias("l"), same, "left").withColumn("lines", F.split("text", "\n", -1))
     left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("lost"))
     rest = F.array_join(F.transform(left, lambda i: F.get(F.col("lines"), i)), "\n")
-    out = unpacked(
+    return unpacked(
         met,
-        (),
         **{text_column: F.when(F.col("lost").isNull(), F.col("text")).otherwise(rest)},
         n_lines=F.size("lines").cast("bigint"),
         n_dropped=F.coalesce(F.size("lost"), F.lit(0)).cast("bigint"),
     )
-    return out.select(*docs.columns, *[c for c in ("n_lines", "n_dropped") if c not in docs.columns])

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,11 +15,15 @@ def with_row(df: DataFrame, **more: Column) -> DataFrame:
     return df.select(F.struct("*").alias("row"), *[c.alias(name) for name, c in more.items()])
 
 
-def unpacked(df: DataFrame, replaced: Iterable[str], **more: Column) -> DataFrame:
-    """The columns of ``row`` except ``replaced`` and the names of ``more``, then ``more``."""
-    gone = {*replaced, *more}
-    kept = [F.col("row").getField(c).alias(c) for c in df.schema["row"].dataType.names if c not in gone]
-    return df.select(*kept, *[c.alias(name) for name, c in more.items()])
+def unpacked(df: DataFrame, **more: Column) -> DataFrame:
+    """The columns of ``row``, of which ``more`` replaces those of the same name and follows with the others.
+
+    Two steps, as an alias of the same select could stand in for a column.
+    """
+    names = df.schema["row"].dataType.names
+    made = df.select("row", *[c.alias(f"__{name}") for name, c in more.items()])
+    held = [F.col(f"__{c}").alias(c) if c in more else F.col("row").getField(c).alias(c) for c in names]
+    return made.select(*held, *[F.col(f"__{c}").alias(c) for c in more if c not in names])
 
 
 def text_of(name: str = "text") -> Column:
