@@ -19,6 +19,8 @@ SPACE = "▁"
 _CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 # Characters that one suffix array indexes; a longer chunk has one of its own.
 INDEXED = 400_000
+# Rows that leave a task together, so that no more than their ids and texts are held.
+ROWS_TOGETHER = 1024
 # Chunks up to this length are merged side by side, longer ones with a queue each.
 SIDE_BY_SIDE = 128
 _NEVER = np.int64(1) << np.int64(30)
@@ -27,6 +29,8 @@ _NEVER = np.int64(1) << np.int64(30)
 class PieceEncoder(ChunkEncoder):
     """Ids of a byte-pair vocabulary with byte fallback, as its SentencePiece file defines them."""
 
+    most_kept = 600_000
+
     def __init__(self, path: str) -> None:
         super().__init__()
         import sentencepiece
@@ -219,6 +223,12 @@ def piece_encoder(path: str) -> PieceEncoder:
     return PieceEncoder(path)
 
 
+def _in_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS_TOGETHER):
+            yield batch.slice(start, ROWS_TOGETHER)
+
+
 def encode_pieces(docs: DataFrame, model: str, text_column: str = "text", into: str = "pieces") -> DataFrame:
     """``docs`` with the array ``into`` of piece ids of ``text_column``; null and empty text have none.
 
@@ -231,10 +241,9 @@ def encode_pieces(docs: DataFrame, model: str, text_column: str = "text", into:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = piece_encoder(model).encode
-        for batch in batches:
-            found = [
-                ids for group in in_groups([t or "" for t in batch.column(text_column).to_pylist()]) for ids in known(group)
-            ]
+        for batch in _in_slices(batches):
+            texts = [t or "" for t in batch.column(text_column).to_pylist()]
+            found = [ids for group in in_groups(texts, 4_000_000) for ids in known(group)]
             ends = np.cumsum([0, *map(len, found)])
             flat = np.concatenate([np.empty(0, np.uint32), *found]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
@@ -250,7 +259,7 @@ def decode_pieces(docs: DataFrame, model: str, pieces_column: str = "pieces", in
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = piece_encoder(model)
-        for batch in batches:
+        for batch in _in_slices(batches):
             lists = batch.column(pieces_column)
             texts = [known.decode(ids.values.to_numpy()) if ids.is_valid else "" for ids in lists]
             yield pa.RecordBatch.from_arrays(

@@ -15,7 +15,6 @@ _UNUSUAL = re.compile(r"[^\S \n]|[\x1c-\x1f\x85᠎​⁠﻿]")
 # A space or line break after anything else begins a new chunk; no vocabulary's pattern reaches over that place.
 _CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 _LONGEST_KEPT = 64
-_MOST_KEPT = 1_000_000
 
 
 class ChunkEncoder:
@@ -25,6 +24,8 @@ class ChunkEncoder:
     say that a text has to be encoded whole.
     """
 
+    most_kept = 1_000_000
+
     def __init__(self) -> None:
         self._forget()
 
@@ -56,7 +57,7 @@ class ChunkEncoder:
         """The ids of each text."""
         cut = [self._chunks(text) for text in texts]
         missing = set(chain.from_iterable(c for c in cut if c)).difference(self._known)
-        if len(self._known) + len(missing) > _MOST_KEPT:
+        if len(self._known) + len(missing) > self.most_kept:
             self._forget()
             missing = set(chain.from_iterable(c for c in cut if c))
         if missing:
