@@ -25,3 +25,10 @@ SILVER_PARTITIONS = ("_ingest_date", "medical_condition")
 CONDITION_KEYS = ("medical_condition",)
 BILLING_KEYS = ("insurance_provider", "age_group", "medical_condition")
 DEMOGRAPHIC_KEYS = ("age_group", "gender", "medical_condition")
+# The nine questions: what is totalled or averaged, and the name of the answer.
+INSURER_TOTAL = ("insurance_provider", "total_billing_amount", "grand_total")
+AGE_GROUP_AVG_BILLING = ("age_group", "avg_billing_amount", "avg_bill")
+CONDITION_TOTAL = ("medical_condition", "total_billing_amount", "condition_total")
+AGE_GROUP_PATIENTS = ("age_group", "total_patients", "total")
+GENDER_AVG_BILLING = ("gender", "avg_billing_amount", "avg_bill")
+CONDITION_ABNORMAL = ("medical_condition", "abnormal_test_rate_pct", "avg_abnormal")

@@ -61,6 +61,7 @@ def admission_rules() -> dict[str, Column]:
     }
 
 
+# The flags, in order.
 DQ_FLAGS = (
     "dq_age_valid",
     "dq_billing_valid",

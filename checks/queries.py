@@ -505,28 +505,12 @@ _QUERIES.update(
     top1_condition_avg_billing=_condition_insight("avg_billing_amount"),
     top1_condition_avg_stay=_condition_insight("avg_length_of_stay_days"),
     top1_condition_abnormal=_condition_insight("abnormal_test_rate_pct"),
-    top1_insurer_total=_insight(
-        gold.top_total, gold.billing_summary, "insurance_provider", "total_billing_amount", "grand_total"
-    ),
-    top1_age_group_avg_billing=_insight(
-        gold.top_mean, gold.billing_summary, "age_group", "avg_billing_amount", "avg_bill"
-    ),
-    top1_condition_total=_insight(
-        gold.top_total, gold.billing_summary, "medical_condition", "total_billing_amount", "condition_total"
-    ),
-    top1_age_group_patients=_insight(
-        gold.top_total, gold.patient_demographics, "age_group", "total_patients", "total"
-    ),
-    top1_gender_avg_billing=_insight(
-        gold.top_mean, gold.patient_demographics, "gender", "avg_billing_amount", "avg_bill"
-    ),
-    top1_condition_abnormal_segments=_insight(
-        gold.top_mean,
-        gold.patient_demographics,
-        "medical_condition",
-        "abnormal_test_rate_pct",
-        "avg_abnormal",
-    ),
+    top1_insurer_total=_insight(gold.top_total, gold.billing_summary, *K.INSURER_TOTAL),
+    top1_age_group_avg_billing=_insight(gold.top_mean, gold.billing_summary, *K.AGE_GROUP_AVG_BILLING),
+    top1_condition_total=_insight(gold.top_total, gold.billing_summary, *K.CONDITION_TOTAL),
+    top1_age_group_patients=_insight(gold.top_total, gold.patient_demographics, *K.AGE_GROUP_PATIENTS),
+    top1_gender_avg_billing=_insight(gold.top_mean, gold.patient_demographics, *K.GENDER_AVG_BILLING),
+    top1_condition_abnormal_segments=_insight(gold.top_mean, gold.patient_demographics, *K.CONDITION_ABNORMAL),
 )
 
 
