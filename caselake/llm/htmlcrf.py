@@ -239,9 +239,14 @@ def labelled_pages(words: Sequence[str], n: int = LABELLED_PAGES) -> list[tuple[
 
 
 def fitted(pages: DataFrame) -> ChainModel:
-    """A model trained on made pages with the words of at most ``WORD_PAGES`` of ``pages``, chosen by hash."""
-    drawn = pages.select(F.xxhash64("html").alias("h"), F.substring(text_of("html"), 1, 20_000).alias("html"))
-    drawn = drawn.orderBy("h").limit(WORD_PAGES).collect()
+    """A model trained on made pages with the words of at most ``WORD_PAGES`` different pages, those of the least hashes.
+
+    The hashes are chosen first and without the pages, so that tasks send
+    numbers only; then the chosen pages come, one of each hash.
+    """
+    told = pages.select(F.xxhash64("html").alias("h"), text_of("html").alias("html"))
+    chosen = [row["h"] for row in told.select("h").distinct().orderBy("h").limit(WORD_PAGES).collect()]
+    drawn = told.filter(F.col("h").isin(chosen)).dropDuplicates(["h"]).collect()
     words = sorted({w for row in drawn for b in blocks(row["html"]) for w in b.text.split() if len(w) < 30})
     return train(labelled_pages(words))
 
