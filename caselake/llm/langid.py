@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -17,6 +18,8 @@ from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField,
 BUCKET_BITS, WIDTH = 15, 16
 # Bound of what is learned from: documents of each language, chosen by hash. A share of them calibrates.
 PER_LANGUAGE, CALIBRATION = 600, 5
+# Languages that can be learned, the most frequent ones.
+MOST_LANGUAGES = 1000
 EPOCHS, RATE = 6, 40.0
 # At most this share of the calibration documents may be rejected, and never one more probable than not.
 REJECTED_SHARE, SUREST_REJECTED = 0.001, 0.5
@@ -84,14 +87,21 @@ def fit(docs: DataFrame) -> LanguageModel:
     """A model of the languages in ``docs`` (``doc_id, text, lang``), by stochastic gradient descent in numpy.
 
     Learns from whole texts of at most ``PER_LANGUAGE`` rows of each non-null
-    language, those of the least id hashes that :func:`learnable` allows. Tasks
+    language, those of about the least id hashes that :func:`learnable` allows. Tasks
     turn texts into subword counts; only those reach the driver. Without such
     rows the model knows no language.
     """
     usable = docs.filter(learnable(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    usable = usable.select("lang", "text", F.xxhash64(F.col("doc_id").cast("string")).alias("at"), F.xxhash64("text").alias("then"))
+    told = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang")
+    shares = {row["lang"]: min(1.0, 2 * PER_LANGUAGE / row["n"]) for row in told.limit(MOST_LANGUAGES).collect()}
+    if not shares:
+        return _fit_rows(pd.DataFrame(columns=["lang", "nth", "buckets", "times"]))
+    # Few rows more than wanted pass this filter, however many there are; the exact choice is among them.
+    at = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 30)) / float(1 << 30)
+    share = F.element_at(F.from_json(F.lit(json.dumps(shares)), "map<string,double>"), F.col("lang"))
+    near = usable.select("lang", "text", at.alias("at"), F.xxhash64("text").alias("then")).filter(F.col("at") < share)
     place = F.row_number().over(Window.partitionBy("lang").orderBy("at", "then"))
-    drawn = usable.withColumn("nth", place).filter(F.col("nth") <= PER_LANGUAGE)
+    drawn = near.withColumn("nth", place).filter(F.col("nth") <= PER_LANGUAGE)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,10 +148,13 @@ def _fit_rows(rows: pd.DataFrame) -> LanguageModel:
 
 def _calibrated(scores: np.ndarray, truth: np.ndarray) -> tuple[float, float]:
     """The temperature of least loss on rows not learned from, and the probability below which to reject."""
-    rows = np.arange(len(truth))
+    rows, n, others = np.arange(len(truth)), len(truth), max(1, scores.shape[1] - 1)
 
     def loss(t: float) -> float:
-        return -np.log(_softmax(scores / t)[rows, truth] + 1e-12).mean()
+        # The truth counts as (n + 1) / (n + 2), so that rows without an error don't ask for certainty.
+        logs = np.log(_softmax(scores / t) + 1e-12)
+        right = logs[rows, truth]
+        return -((n + 1) * right + (logs.sum(axis=1) - right) / others).mean()
 
     temperature = min(np.geomspace(0.05, 20, 80), key=loss)
     sure = _softmax(scores / temperature).max(axis=1)
