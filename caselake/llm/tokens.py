@@ -11,7 +11,12 @@ from itertools import chain
 import numpy as np
 
 # White space and controls on which text patterns and Python may differ; such texts go whole to the tokenizer.
-_UNUSUAL = re.compile(r"[^\S \n]|[\x1c-\x1f\x85᠎​⁠﻿]")
+_UNUSUAL = (
+    "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u180e\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009"
+    "\u200a\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff"
+)
+# Marks that end words; after an ASCII letter or digit the vocabularies' patterns always begin anew.
+_MARKS = ",.;:!?"
 # A space or line break after anything else begins a new chunk; no vocabulary's pattern reaches over that place.
 _CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 _LONGEST_KEPT = 64
@@ -37,12 +42,15 @@ class ChunkEncoder:
         """All ids in a row, and how many each text has."""
         raise NotImplementedError
 
+    def _chunk_ids(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return self._ids(chunks)
+
     def _chunks(self, text: str) -> list[str] | None:
         raise NotImplementedError
 
     def _learn(self, chunks: set[str]) -> None:
         new = list(chunks)
-        ids, sizes = self._ids(new)
+        ids, sizes = self._chunk_ids(new)
         base = len(self._known)
         start, end = self._ends[base], self._ends[base] + len(ids)
         while len(self._ends) <= base + len(new):
@@ -77,6 +85,19 @@ class ChunkEncoder:
         return np.split(flat, np.cumsum(sizes)[:-1]) if len(sizes) else []
 
 
+def in_groups(texts: list[str], most: int = 2_000_000) -> Iterator[list[str]]:
+    """Consecutive texts of about ``most`` characters together; every text is in one group."""
+    group, size = [], 0
+    for text in texts:
+        group.append(text)
+        size += len(text)
+        if size >= most:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
 class Encoder(ChunkEncoder):
     """``encode`` of a ``tokenizers`` file without special tokens.
 
@@ -96,32 +117,41 @@ class Encoder(ChunkEncoder):
         self._tokenizer.encode_special_tokens = True
         # Where white space is dropped, it need not be part of a chunk.
         self._bare = not len(self._ids(["\n \n"])[0])
+        ids, _ = self._ids(["QuICK", "quick"])
+        self._lower = bool(len(ids) % 2 == 0 and (ids[: len(ids) // 2] == ids[len(ids) // 2 :]).all())
 
     def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter(chain.from_iterable(found), np.uint32, sizes.sum()), sizes
 
+    def _chunk_ids(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Chunks that differ in the marks after a word only are encoded once, the marks by themselves."""
+        cores, tails = [], []
+        for chunk in chunks:
+            core = chunk.rstrip(_MARKS)
+            cut = len(core) if core and core[-1].isascii() and core[-1].isalnum() else len(chunk)
+            cores.append(chunk[:cut])
+            tails.append(chunk[cut:])
+        number = {text: i for i, text in enumerate(dict.fromkeys(chain(cores, tails)))}
+        ids, sizes = self._ids(list(number))
+        ends = np.cumsum(sizes)
+        parts = np.fromiter((number[x] for pair in zip(cores, tails) for x in pair), np.int64, 2 * len(chunks))
+        each = sizes[parts]
+        at = np.arange(each.sum()) + np.repeat(ends[parts] - np.cumsum(each), each)
+        return ids[at], each.reshape(-1, 2).sum(axis=1)
+
     def _chunks(self, text: str) -> list[str] | None:
-        if _UNUSUAL.search(text):
+        if any(c in text for c in _UNUSUAL):
             return None
-        chunks = text.split() if self._bare else _CHUNK.findall(text)
+        if self._bare:
+            # The vocabulary is one of lower case, and in ASCII there is only one way to get there.
+            chunks = (text.lower() if self._lower and text.isascii() else text).split()
+        else:
+            chunks = _CHUNK.findall(text)
         return chunks if max(map(len, chunks), default=0) <= _LONGEST_KEPT else None
 
 
-def in_groups(texts: list[str], most: int = 2_000_000) -> Iterator[list[str]]:
-    """Consecutive texts of about ``most`` characters together; every text is in one group."""
-    group, size = [], 0
-    for text in texts:
-        group.append(text)
-        size += len(text)
-        if size >= most:
-            yield group
-            group, size = [], 0
-    if group:
-        yield group
-
-
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """One encoder per worker and file; it keeps what it has learned from task to task."""
