@@ -29,7 +29,7 @@ class ChunkEncoder:
     say that a text has to be encoded whole.
     """
 
-    most_kept = 1_000_000
+    most_kept = 700_000
 
     def __init__(self) -> None:
         self._forget()
