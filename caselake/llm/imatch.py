@@ -35,12 +35,10 @@ def lexicon(docs: DataFrame, rarest: float = RAREST, commonest: float = COMMONES
     are no more of them than the mean number of distinct terms of a document
     over ``rarest``, whatever the number of documents.
     """
-    total = docs.agg(F.count(F.lit(1)).alias("total"))
+    total = max(1, docs.count())
     each = docs.select(F.explode(terms(F.col("text"))).alias("term"))
-    counted = each.groupBy("term").agg(F.count(F.lit(1)).alias("docs"))
-    banded = counted.join(F.broadcast(total))  # one row
-    share = F.col("docs") / F.col("total")
-    return banded.filter(share.between(rarest, commonest)).select("term")
+    counted = each.groupBy("term").agg((F.count(F.lit(1)) / total).alias("share"))
+    return counted.filter(F.col("share").between(rarest, commonest)).select("term")
 
 
 def _hashed(found: Column, instead: Column) -> Column:
