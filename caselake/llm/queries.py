@@ -18,6 +18,7 @@ from caselake.llm.rangecoder import read_ids, write_ids
 from caselake.llm.revisit import resolve_revisits
 from caselake.llm.rows import utf8_sha256
 from caselake.llm.spherical import near_vectors
+from caselake.llm.variants import spelling_variants
 from caselake.session import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,5 +144,22 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_minhash_near_dedup, op3_packing, op4_language_id, op5_warc_revisits, op6_fingerprints, op7_token_ids, op8_sentencepiece, op9_html_extraction, op10_embedding_near_dedup)}
+    every = (
+        op1_line_dedup,
+        op2_minhash_near_dedup,
+        op3_packing,
+        op4_language_id,
+        op5_warc_revisits,
+        op6_fingerprints,
+        op7_token_ids,
+        op8_sentencepiece,
+        op9_html_extraction,
+        op10_embedding_near_dedup,
+        op11_spelling_variants,
+    )
+    return {f.__name__: f for f in every}
