@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caselake.llm.alignment import aligned_tokens
 from caselake.llm.htmlcrf import extract_main_text, fitted
 from caselake.llm.imatch import fingerprints
 from caselake.llm.langid import fit, identify, learnable
@@ -148,6 +149,11 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return aligned_tokens(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, Query]:
     every = (
         op1_line_dedup,
@@ -161,5 +167,6 @@ def queries() -> dict[str, Query]:
         op9_html_extraction,
         op10_embedding_near_dedup,
         op11_spelling_variants,
+        op13_cross_tokenizer_alignment,
     )
     return {f.__name__: f for f in every}
