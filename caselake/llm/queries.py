@@ -14,6 +14,7 @@ from caselake.llm.langid import fit, identify, learnable
 from caselake.llm.lines import drop_shared_lines
 from caselake.llm.minhash import Near, near_duplicates
 from caselake.llm.packing import pack
+from caselake.llm.personal import personal_data
 from caselake.llm.pieces import decode_pieces, encode_pieces
 from caselake.llm.rangecoder import read_ids, write_ids
 from caselake.llm.revisit import resolve_revisits
@@ -149,6 +150,19 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        "n_email",
+        "n_ip",
+        "n_card",
+        "n_phone",
+        utf8_sha256(F.array_join("base_spans", ",")).alias("base_sha256"),
+        F.array_join("spans", ",").alias("spans"),
+    )
+
+
 def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return aligned_tokens(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
@@ -167,6 +181,7 @@ def queries() -> dict[str, Query]:
         op9_html_extraction,
         op10_embedding_near_dedup,
         op11_spelling_variants,
+        op12_pii,
         op13_cross_tokenizer_alignment,
     )
     return {f.__name__: f for f in every}
