@@ -27,10 +27,14 @@ RULES = {
 # A text without this has no match.
 NEEDED = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]", "phone": r"\+[0-9]"}
 _AT, _DOT = r"(?:@|\x20?[(\[]\x20?at\x20?[)\]]\x20?)", r"(?:\.|\x20?[(\[]\x20?dot\x20?[)\]]\x20?)"
-# What may be personal data: addresses also as people disguise them, six-part addresses, and chains of seven digits or more.
+# What may be personal data: addresses also as people disguise them, network addresses, telephone and card numbers in
+# their usual forms, so that neighbours are told apart, and other chains of seven digits or more.
 CANDIDATE = (
     rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++{_AT}[A-Za-z0-9-]++(?:{_DOT}[A-Za-z0-9-]++)*+"
     r"|(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){5,7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])"
+    r"|(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9])"
+    r"|(?:\+[0-9]{1,3}[\x20.-]?)?+(?:\([0-9]{2,4}\)|(?<![0-9])[0-9]{2,4})[\x20.-][0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9]|[\x20-][0-9]{4}(?![0-9]))"
+    r"|(?<![0-9])(?:[0-9]{4}[\x20-]){3}[0-9]{4}(?![0-9])|(?<![0-9])[0-9]{12,19}(?![0-9])"
     r"|(?<![0-9])[+(]?[0-9](?:[\x20().-]{0,2}[0-9]){6,}+"
 )
 # Gazetteers, and the words whose nearness speaks for a kind or against any.
@@ -171,10 +175,11 @@ def _sigmoid(x: float) -> float:
 def reliabilities(patterns: Sequence[Pattern]) -> list[float]:
     """How likely each pattern of votes is right, by expectation-maximisation over the labelers' hit and error rates.
 
-    A labeler votes by itself given the truth. What the rule accepts is true;
-    the rest begins with the majority of its votes.
+    A labeler votes by itself given the truth. What the rule accepts is true,
+    what its check refuses is not; the rest begins with the majority of its votes.
     """
-    true = [1.0 if votes[0] > 0 else _sigmoid(sum(votes)) for votes, _, _ in patterns]
+    known = {1: 1.0, -1: 0.0}
+    true = [known.get(votes[0], _sigmoid(sum(votes))) for votes, _, _ in patterns]
     for _ in range(ROUNDS):
         # One imagined span of either class for every possible vote.
         seen = [[{v: 1.0 for v in (-1, 0, 1)} for _ in LABELERS] for _ in range(2)]
@@ -188,7 +193,7 @@ def reliabilities(patterns: Sequence[Pattern]) -> list[float]:
         prior = math.log(size[1] / size[0])
         for i, (votes, _, _) in enumerate(patterns):
             odds = prior + sum(logs[1][k][v] - logs[0][k][v] for k, v in enumerate(votes))
-            true[i] = 1.0 if votes[0] > 0 else _sigmoid(odds)
+            true[i] = known.get(votes[0], _sigmoid(odds))
     return true
 
 
@@ -272,7 +277,7 @@ def personal_data(
     estimates how reliable each labeler is, and with it how likely each
     candidate is true; a logistic regression learns that from votes and
     shape, and candidates that it gives ``threshold`` stay, unless they overlap
-    a base span.
+    a base span or fail a check that all of their kind pass.
 
     Null and empty texts have no spans and empty arrays. Rows are independent,
     also repeated ones and those without an id; texts are whole, other columns
@@ -290,7 +295,7 @@ def personal_data(
         hits = _spans(found.select("row", F.inline("found")))
         base = hits.filter(_by_kind({k: _holds(k, F.col("hit")) for k in KINDS}, F.lit(False)))
         candidates = stage(with_votes(hits.filter(F.col("kind") == len(KINDS))).drop("hit", "before", "after", "digits"))
-        kept = candidates.filter((F.col("rule") < 1) & (score(fit(candidates)) >= threshold))
+        kept = candidates.filter((F.col("rule") >= 0) & (score(fit(candidates)) >= threshold))
         names = F.array(*map(F.lit, KINDS))
         span = F.concat_ws(":", F.get(names, F.col("kind")), F.col("start"), F.col("end"))
         placed = F.struct("start", "kind", "end", span.alias("span"))
