@@ -16,23 +16,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caselake.llm.rows import text_of
-from caselake.llm.tokens import ChunkEncoder, encoder, in_groups
+from caselake.llm.tokens import ChunkEncoder, Encoder, in_groups
 from caselake.session import shuffle_sized, size_in_bytes, stage
 
 SPACE = "▁"
 _CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 # Characters that are aligned together.
-CHARACTERS = 4_000_000
+CHARACTERS = 2_000_000
 # Tokens after which a long text may go on in another lane, and how far ahead a place for that is looked for.
-LANE, AHEAD = 1024, 256
+LANE, AHEAD = 512, 256
+# Chunks that a worker remembers for either tokenizer.
+MOST_KEPT = 500_000
 _NAME = "S6"
 
 
 class _Pieces(ChunkEncoder):
     """Ids of a SentencePiece file, chunk by chunk: no piece has a space after another character."""
 
-    most_kept = 600_000
-
     def __init__(self, path: str) -> None:
         super().__init__()
         import sentencepiece
@@ -82,10 +82,11 @@ def _sides(first: str, second: str) -> tuple[_Side, _Side]:
     written_a = [b""] * (max(names.values()) + 1)
     for name, number in names.items():
         written_a[number] = bytes(letters[c] for c in name) if all(c in letters for c in name) else name.encode()
-    pieces = _Pieces(second)
+    words, pieces = Encoder(first), _Pieces(second)
+    words.most_kept = pieces.most_kept = MOST_KEPT
     written_b = pieces.bytes_of_ids()
     sizes = [np.array(list(map(len, w)), np.int64) for w in (written_a, written_b)]
-    return _Side(encoder(first), written_a, sizes[0]), _Side(pieces, written_b, sizes[1])
+    return _Side(words, written_a, sizes[0]), _Side(pieces, written_b, sizes[1])
 
 
 class Tokens(NamedTuple):
@@ -260,7 +261,7 @@ def aligned_batches(docs: DataFrame, first: str, second: str, id_column: str = "
 
         for batch in batches:
             ids = iter(batch.column("doc_id").to_pylist())
-            for group in in_groups(batch.column("text").to_pylist(), CHARACTERS):
+            for group in in_groups(map(pa.Scalar.as_py, batch.column("text")), CHARACTERS):
                 part = batch.column("part")[0].as_py()
                 held += group
                 held_ids += [next(ids) for _ in group]

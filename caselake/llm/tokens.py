@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -85,7 +85,7 @@ class ChunkEncoder:
         return np.split(flat, np.cumsum(sizes)[:-1]) if len(sizes) else []
 
 
-def in_groups(texts: list[str], most: int = 2_000_000) -> Iterator[list[str]]:
+def in_groups(texts: Iterable[str], most: int = 2_000_000) -> Iterator[list[str]]:
     """Consecutive texts of about ``most`` characters together; every text is in one group."""
     group, size = [], 0
     for text in texts:
