@@ -261,7 +261,7 @@ def aligned_batches(docs: DataFrame, first: str, second: str, id_column: str = "
 
         for batch in batches:
             ids = iter(batch.column("doc_id").to_pylist())
-            for group in in_groups(map(pa.Scalar.as_py, batch.column("text")), CHARACTERS):
+            for group in in_groups((t.as_py() for t in batch.column("text")), CHARACTERS):
                 part = batch.column("part")[0].as_py()
                 held += group
                 held_ids += [next(ids) for _ in group]
