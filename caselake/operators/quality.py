@@ -130,3 +130,34 @@ def dedupe_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.coalesce(F.sum("copies"), F.lit(0)).alias("records_before"),
         F.count(F.lit(1)).alias("records_after"),
     ).withColumn("duplicates_removed", F.col("records_before") - F.col("records_after"))
+
+
+def content_fingerprint(df: DataFrame) -> DataFrame:
+    """One row that tells two tables' contents apart, whatever the order of rows: ``n_rows, total, mixed``.
+
+    Each row becomes 64-bit hashes that tell NULL from a value; ``total`` adds
+    the one, ``mixed`` combines the other by exclusive or. Rows that repeat
+    count each. One pass, and one row a task is shuffled.
+    """
+    one, two = content_order(sorted(df.columns))
+    return df.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.coalesce(F.sum(one.cast("decimal(20,0)")), F.lit(0)).cast("decimal(38,0)").alias("total"),
+        F.coalesce(F.bit_xor(two), F.lit(0)).alias("mixed"),
+    )
+
+
+def same_content(one: DataFrame, other: DataFrame) -> DataFrame:
+    """``n_rows, n_rows_other, same``: whether two tables of the same columns and types hold the same rows."""
+    if sorted(one.dtypes) != sorted(other.dtypes):
+        raise ValueError(f"columns differ: {sorted(set(one.dtypes) ^ set(other.dtypes))}")
+    sides = [content_fingerprint(df).withColumn("side", F.lit(i)) for i, df in enumerate((one, other))]
+
+    def of(side: int, name: str) -> Column:
+        return F.max(F.when(F.col("side") == side, F.col(name)))
+
+    agree = [of(0, c) == of(1, c) for c in ("n_rows", "total", "mixed")]
+    # One row of either side meets the other's in one task.
+    return sides[0].union(sides[1]).agg(
+        of(0, "n_rows").alias("n_rows"), of(1, "n_rows").alias("n_rows_other"), reduce(lambda x, y: x & y, agree).alias("same")
+    )

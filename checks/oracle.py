@@ -583,6 +583,11 @@ def oracle_sql() -> dict[str, str]:
         "cluster_zorder_two_cols": over("silver", "SELECT * EXCLUDE (_ingested_at) FROM silver"),
         "upsert_null_safe": _null_safe_merged(),
         "upsert_delete_missing": over("base", billing_mart("second_load"), *_LOADS),
+        "validate_content": over(
+            "silver",
+            "SELECT count(*) AS n_rows, count(*) AS n_rows_other, side = 'written' AS same, side AS compared "
+            "FROM silver, (VALUES ('written'), ('swapped')) AS sides(side) GROUP BY side",
+        ),
         "table_detail": over(
             "silver",
             "SELECT 'parquet' AS format, '_ingest_date,medical_condition' AS partition_columns, count(*) AS num_rows, "

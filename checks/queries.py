@@ -552,6 +552,18 @@ def validate_roundtrip(spark, sf_dir):
     )
 
 
+@query
+def validate_content(spark, sf_dir):
+    """The written table against its source, and against itself with two values swapped."""
+    source = _silver(spark, sf_dir)
+    name = f"{scratch_database(spark)}.admissions"
+    tables.save_table(source, name)
+    table = spark.table(name)
+    swapped = table.withColumns({"FirstName": F.col("LastName"), "LastName": F.col("FirstName")})
+    written = quality.same_content(source.select(*table.columns), table).withColumn("compared", F.lit("written"))
+    return written.union(quality.same_content(table, swapped).withColumn("compared", F.lit("swapped")))
+
+
 @query
 def table_detail(spark, sf_dir):
     name = f"{scratch_database(spark)}.admissions"

@@ -109,9 +109,16 @@ def test_only_writes_with_many_partition_values_are_rebalanced(spark, layout):
         assert spark.conf.get(size) == before
 
 
-@pytest.mark.parametrize("listed", [200_000, 1])
-def test_incremental_batches_equal_a_full_refresh(spark, layout, tmp_path, monkeypatch, listed):
-    monkeypatch.setattr(medallion, "LISTED_KEYS", listed)
+@pytest.fixture(params=["10MB", "-1"])
+def broadcasts(spark, request):
+    """Joins by broadcast, and by shuffles and buckets alone."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_incremental_batches_equal_a_full_refresh(spark, layout, tmp_path, broadcasts):
     options = {"schema": "string", "mode": "append", "cluster": False}
     one, two = feed(tmp_path / "a", ROWS[:3]), feed(tmp_path / "b", [ROWS[1], *ROWS[3:], ROWS[4]])
     for batch, source in (("1", one), ("2", two), ("3", two)):
@@ -124,6 +131,44 @@ def test_incremental_batches_equal_a_full_refresh(spark, layout, tmp_path, monke
     assert full.groupBy("_batch_id").count().count() == 2
 
 
+def test_known_keys_are_found_without_reading_silver_or_shuffling_the_index(spark, layout, tmp_path, broadcasts):
+    options = {"schema": "string", "mode": "append", "cluster": False, "incremental": True}
+    medallion.refresh(spark, feed(tmp_path / "a", ROWS), layout, batch_id="1", **options)
+    new = medallion.record_keys(spark.table(layout.raw_table).limit(3)).distinct()
+    found = medallion.known_keys(spark, layout, new)
+    plan = found._jdf.queryExecution().toString()
+    assert found.count() == 3 and "admissions_clean" not in plan
+    if broadcasts == "-1":
+        lines = found._jdf.queryExecution().executedPlan().toString().split("\n")
+        at = next(i for i, line in enumerate(lines) if "Bucketed: true" in line)
+        depth, above = len(lines[at]), []
+        for line in reversed(lines[:at]):
+            indent = len(line) - len(line.lstrip(" :+-"))
+            if indent < depth and "Join" in line:
+                break
+            if indent < depth:
+                depth = indent
+                above.append(line)
+        assert not any("Exchange" in line for line in above) and "Join" in line
+
+
+def test_a_batch_whose_keys_were_not_indexed_is_not_added_twice(spark, layout, tmp_path, monkeypatch):
+    options = {"schema": "string", "mode": "append", "cluster": False, "incremental": True}
+    medallion.refresh(spark, feed(tmp_path / "a", ROWS[:2]), layout, batch_id="1", **options)
+
+    def stop(*_):
+        raise OSError("the driver is gone")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(medallion, "_add_keys", stop)
+        with pytest.raises(OSError, match="gone"):
+            medallion.refresh(spark, feed(tmp_path / "b", ROWS[1:4]), layout, batch_id="2", **options)
+    assert spark.table(layout.clean_table).count() == 4
+    medallion.refresh(spark, feed(tmp_path / "c", [*ROWS[2:], ROWS[0]]), layout, batch_id="3", **options)
+    assert spark.table(layout.clean_table).count() == len(ROWS)
+    assert spark.table(layout.keys_table).distinct().count() == len(ROWS)
+
+
 def test_a_batch_reads_only_its_rows_and_known_hashes(spark, layout, tmp_path):
     medallion.refresh(spark, feed(tmp_path / "a", ROWS), layout, schema="string", cluster=False)
     batch = spark.table(layout.raw_table).filter(F.col("_batch_id") == "x")

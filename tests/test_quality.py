@@ -122,3 +122,22 @@ def test_dedupe_stored_keeps_one_of_equal_copies_and_shuffles_no_rows(spark, dat
 def test_dedupe_stored_without_repeats(spark, database):
     rows = stored(spark, database, spark.range(100).selectExpr("string(id) AS h"))
     assert quality.dedupe_stored(rows.filter("h < '5'"), ["h"]).count() == rows.filter("h < '5'").count()
+
+
+def test_content_is_compared_as_a_multiset(spark):
+    rows = [(1, "a", None), (2, "", None), (2, "", None), (3, None, "")]
+    schema = "k int, a string, b string"
+    df = spark.createDataFrame(rows, schema)
+
+    def compare(others):
+        return tuple(quality.same_content(df, spark.createDataFrame(others, schema)).first())
+
+    assert compare(rows[::-1]) == (4, 4, True)
+    assert compare(rows[:3]) == (4, 3, False)
+    assert compare([rows[0], rows[1], rows[3], rows[3]]) == (4, 4, False)
+    # NULL and '' are two values, and swapped values are noticed.
+    assert compare([(1, "a", None), (2, "", None), (2, "", None), (3, "", None)]) == (4, 4, False)
+    assert compare([(1, None, "a"), *rows[1:]]) == (4, 4, False)
+    assert tuple(quality.same_content(df.limit(0), df.limit(0)).first()) == (0, 0, True)
+    with pytest.raises(ValueError, match="columns differ"):
+        quality.same_content(df, df.drop("b"))
