@@ -1,11 +1,16 @@
 """Token ids as range-coded blocks, and files of them.
 
 A block is coded on its own: its model starts empty and its checksum is kept
-beside it. The blocks of a chunk are coded side by side, one numpy lane each.
+beside it. Predictions of order 2, 1 and 0 drive an arithmetic coder: first
+whether the id that followed the last two comes again, with a chance mixed
+from both higher orders, then the one that followed the last, then which of the
+ids seen so far by their counts, or that it is a new one. All numbers are
+integers. The blocks of a chunk are coded side by side, one numpy lane each.
 """
 
 from __future__ import annotations
 
+import math
 import struct
 import zlib
 from collections.abc import Iterator
@@ -18,79 +23,134 @@ from pyspark.sql import functions as F
 from caselake.llm.ordered import with_running_totals
 from caselake.llm.rows import text_of
 from caselake.llm.tokens import encoder, in_groups
+from caselake.session import stage
 
 BLOCK_IDS = 4096
 # Blocks coded side by side; also how many ids a chunk of whole documents gathers.
-LANES = 1024
-MAGIC = b"IDS1"
-_CONTEXT_BITS, _SEEN_BITS = 10, 8
-_CONTEXTS, _SEEN = 1 << _CONTEXT_BITS, 1 << _SEEN_BITS
+LANES = 2048
+# Chunks whose places are broadcast, some ten megabytes; beyond that they are joined by a shuffle.
+MOST_BROADCAST = 400_000
+MAGIC = b"IDS2"
 _TOP, _BOTTOM = np.uint32(1 << 24), np.uint32(1 << 16)
-_GAIN, _HALVE_EVERY = 24, 128
-# Four 16-bit counts lie in one 64-bit integer; multiplied by ones they become running sums.
-_ONES = np.uint64(0x0001_0001_0001_0001)
-_HALVES = np.uint64(0x7FFF_7FFF_7FFF_7FFF)
-_U16 = np.uint64(0xFFFF)
-RAW, ORDER_0, ORDER_1, ORDER_2 = range(4)
+# Slots of a lane lie in groups of this many, and groups in groups, each with running counts inside.
+GROUP = 16
+# Contexts of order 2 in a lane; how sure a guess can be; probabilities have 16 bits, of which 12 are coded.
+_CONTEXTS, _SUREST, _SHIFT, _RATE = 4096, 3, 5, 14
+_SCALE, _LENGTHS, _GAIN = 4096, 33, 4
+
+
+def _squash(x: float) -> int:
+    return min(_SCALE - 1, max(1, round(_SCALE / (1 + math.exp(-x / 256)))))
+
+
+_SQUASH = np.array([_squash(x) for x in range(-2047, 2048)], np.int64)
+_STRETCH = np.searchsorted(_SQUASH, np.arange(_SCALE)).clip(0, 4094) - 2047
+
+
+def _coded(p: np.ndarray) -> np.ndarray:
+    return (p >> 4).clip(1, _SCALE - 1)
 
 
 class _Model:
-    """What the ids so far let expect, per lane.
+    """What the ids of a lane so far let expect.
 
-    Orders 1 and 2 each predict one id by a hashed context, with a confidence
-    from 0 to 3; order 0 holds recent ids in a small table. How often each
-    order was right is counted under the confidence of order 1 and under that
-    of order 2. Their mixture is the sum of the counts.
+    An id gets a slot when it first occurs. Order 0 counts each slot, in
+    running sums, so that an interval is two look-ups. Orders 1 and 2 hold for
+    each context the slot that followed and how sure it is. Whether the guess
+    of order 2 holds is a probability mixed from what both orders say, by
+    weights that are learned in the lane; the one of order 1 alone has its own.
     """
 
-    def __init__(self, lanes: int) -> None:
+    def __init__(self, lanes: int, steps: int) -> None:
+        over = -(-steps // GROUP**2)
+        slots = over * GROUP**2
         lane = np.arange(lanes)
-        self.contexts, self.seen_at, self.count_at = lane * _CONTEXTS, lane * _SEEN, lane * 4
-        # The predicted id above, its confidence in the lowest two bits.
-        self.guess = np.zeros((2, lanes * _CONTEXTS), np.uint64)
-        self.seen = np.full(lanes * _SEEN, 0xFFFFFFFF, np.uint32)
-        self.counts = np.full((2, lanes * 4), _ONES, np.uint64)
-        self.last = np.zeros((2, lanes), np.uint32)
-        self.step = 0
-
-    def expect(self, n: int) -> np.ndarray:
-        """Packed counts of the four kinds for the next id of the first ``n`` lanes."""
-        one, two = self.last[0, :n], self.last[1, :n]
-        first = one * np.uint32(0x9E3779B1)
-        second = (first ^ (two * np.uint32(0x85EBCA77))) * np.uint32(0xC2B2AE3D)
-        shift = np.uint32(32 - _CONTEXT_BITS)
-        self.at = [self.contexts[:n] + (h >> shift) for h in (first, second)]
-        held = [guess.take(at) for guess, at in zip(self.guess, self.at)]
-        self.id = [(h >> np.uint64(2)).astype(np.uint32) for h in held]
-        self.sure = [(h & np.uint64(3)).astype(np.int64) for h in held]
-        self.rows = [self.count_at[:n] + sure for sure in self.sure]
-        return self.counts[0].take(self.rows[0]) + self.counts[1].take(self.rows[1])
-
-    def slot(self, ids: np.ndarray) -> np.ndarray:
-        return (ids * np.uint32(0x9E3779B1)) >> np.uint32(32 - _SEEN_BITS)
-
-    def kind(self, ids: np.ndarray, slot: np.ndarray) -> np.ndarray:
-        recent = self.seen.take(self.seen_at[: len(ids)] + slot) == ids
-        kind = np.where(self.id[0] == ids, ORDER_1, recent)
-        return np.where(self.id[1] == ids, ORDER_2, kind)
-
-    def learn(self, ids: np.ndarray, slot: np.ndarray, kind: np.ndarray) -> None:
-        n = len(ids)
-        gain = np.uint64(_GAIN) << (kind.astype(np.uint64) << np.uint64(4))
-        for guess, at, held, sure, counts, rows in zip(
-            self.guess, self.at, self.id, self.sure, self.counts, self.rows
-        ):
-            right = held == ids
-            then = np.where(right, np.minimum(sure + 1, 3), np.maximum(sure - 1, 0)).astype(np.uint64)
-            kept = np.where(right | (sure > 0), held, ids).astype(np.uint64)
-            guess[at] = (kept << np.uint64(2)) | then
-            counts[rows] += gain
-        self.seen[self.seen_at[:n] + slot] = ids
-        self.last[1, :n] = self.last[0, :n]
-        self.last[0, :n] = ids
-        self.step += 1
-        if self.step % _HALVE_EVERY == 0:
-            self.counts = ((self.counts >> np.uint64(1)) & _HALVES) | _ONES
+        self.lane_slots, self.lane_pairs = lane * (slots + 1), lane * _CONTEXTS
+        # Rows of the running counts: one of a lane's, one for each group of groups, one for each group.
+        self.row_of = [lane, lane * over, lane * over * GROUP]
+        self.sums = [np.zeros((lanes * n, width), np.uint16) for n, width in ((1, over), (over, GROUP), (over * GROUP, GROUP))]
+        self.count = np.zeros(lanes * (slots + 1), np.uint16)
+        self.id_of = np.zeros(lanes * (slots + 1), np.uint32)
+        self.known = np.zeros(lanes, np.int64)
+        self.total = np.zeros(lanes, np.int64)
+        sizes = lanes * (slots + 1), lanes * _CONTEXTS
+        self.guess = [np.zeros(size, np.uint16) for size in sizes]
+        self.sure = [np.zeros(size, np.uint8) for size in sizes]
+        self.last = [np.full(lanes, slots, np.int64) for _ in range(2)]
+        # Chances: order 2 by its sureness, order 1 by agreement and sureness, order 1 alone, a new id.
+        self.by_two = np.full((lanes, _SUREST + 1), 1 << 15, np.int64)
+        self.by_one = np.full((lanes, 2 * (_SUREST + 1)), 1 << 15, np.int64)
+        self.alone = np.full((lanes, _SUREST + 1), 1 << 15, np.int64)
+        self.new = np.full((lanes, 2), 1 << 15, np.int64)
+        self.weights = np.full((2, lanes, 2), 40_000, np.int64)
+        self.lengths = np.ones((lanes, _LENGTHS), np.int64)
+        self._places = [np.arange(x.shape[1], dtype=np.uint16) for x in self.sums]
+
+    def expect(self, n: int) -> None:
+        one, two = self.last[0][:n], self.last[1][:n]
+        pair = (one * 0x9E3779B1 + two * 0x85EBCA6B >> 7) & (_CONTEXTS - 1)
+        self.at = [self.lane_slots[:n] + one, self.lane_pairs[:n] + pair]
+        self.guessed = [g[at].astype(np.int64) for g, at in zip(self.guess, self.at)]
+        self.sureness = [s[at].astype(np.int64) for s, at in zip(self.sure, self.at)]
+
+    def mixed(self, lanes: np.ndarray) -> np.ndarray:
+        """The chance that the guess of order 2 holds."""
+        one = self.sureness[0][lanes]
+        self.agree = ((one > 0) & (self.guessed[0][lanes] == self.guessed[1][lanes])).astype(np.int64)
+        self.cells = self.sureness[1][lanes], self.agree * (_SUREST + 1) + one
+        chances = self.by_two[lanes, self.cells[0]], self.by_one[lanes, self.cells[1]]
+        self.inputs = [_STRETCH[_coded(p)] for p in chances]
+        dot = sum(self.weights[k, lanes, self.agree] * x for k, x in enumerate(self.inputs)) >> 16
+        self.chance = _SQUASH[dot.clip(-2047, 2047) + 2047]
+        return self.chance
+
+    def learn_mix(self, lanes: np.ndarray, held: np.ndarray) -> None:
+        error = (held.astype(np.int64) << 12) - self.chance
+        for k, x in enumerate(self.inputs):
+            self.weights[k, lanes, self.agree] += (x * error * _RATE) >> 14
+        _moved(self.by_two, lanes, self.cells[0], held)
+        _moved(self.by_one, lanes, self.cells[1], held)
+
+    def _levels(self, lanes: np.ndarray, slot: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Row and place of ``slot`` in the running counts of each level."""
+        group, over = slot // GROUP, slot // GROUP**2
+        rows = self.row_of[0][lanes], self.row_of[1][lanes] + over, self.row_of[2][lanes] + group
+        return list(zip(rows, (over, group % GROUP, slot % GROUP)))
+
+    def interval(self, lanes: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        levels = zip(self.sums, self._levels(lanes, slot))
+        start = sum(sums.take(row * sums.shape[1] + place).astype(np.uint32) for sums, (row, place) in levels)
+        return start, self.count.take(self.lane_slots[lanes] + slot)
+
+    def find(self, lanes: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """The slot whose interval holds ``place``."""
+        place, slot = place.astype(np.uint16), np.zeros(len(lanes), np.int64)
+        for rows, sums in zip(self.row_of, self.sums):
+            row = rows[lanes] + slot
+            here = sums[row]
+            at = np.count_nonzero(here <= place[:, None], axis=1) - 1
+            place = place - here[np.arange(len(at)), at]
+            slot = slot * sums.shape[1] + at if sums is not self.sums[0] else at
+        # Slots that are not taken yet have empty intervals after the last one.
+        return np.minimum(slot, self.known[lanes] - 1)
+
+    def learn(self, slot: np.ndarray) -> None:
+        n = len(slot)
+        for sums, places, (row, place) in zip(self.sums, self._places, self._levels(slice(0, n), slot)):
+            sums[row] += places > place.astype(np.uint16)[:, None]
+        self.count[self.lane_slots[:n] + slot] += np.uint16(1)
+        self.total[:n] += 1
+        for guess, sure, at, guessed, sureness in zip(self.guess, self.sure, self.at, self.guessed, self.sureness):
+            right = (guessed == slot) & (sureness > 0)
+            sure[at] = np.where(right, np.minimum(sureness + 1, _SUREST), np.maximum(sureness - 1, 1))
+            guess[at] = np.where(right | (sureness > 1), guessed, slot)
+        self.last[1][:n] = self.last[0][:n]
+        self.last[0][:n] = slot
+
+
+def _moved(chances: np.ndarray, lanes: np.ndarray, cell: np.ndarray, held: np.ndarray) -> None:
+    p = chances[lanes, cell]
+    chances[lanes, cell] = p + (((held.astype(np.int64) << 16) - held - p) >> _SHIFT)
 
 
 class _Coder:
@@ -99,7 +159,8 @@ class _Coder:
         self.range = np.full(lanes, 0xFFFFFFFF, np.uint32)
         self.at = np.zeros(lanes, np.int64)
 
-    def _narrow(self, lanes, start, size, total) -> None:
+    def narrow(self, lanes: np.ndarray, start: np.ndarray, size: np.ndarray, total) -> None:
+        """Go on in the part ``start`` to ``start + size`` of ``total``."""
         part = self.range[lanes] // total
         low = self.low[lanes] + start * part
         span = size * part
@@ -107,7 +168,7 @@ class _Coder:
         # Only the lanes that have a byte to give go on.
         todo = np.flatnonzero(((low ^ (low + span)) < _TOP) | (span < _BOTTOM))
         low, span = low[todo], span[todo]
-        todo = todo if isinstance(lanes, slice) else lanes[todo]
+        todo = lanes[todo]
         while len(todo):
             settled = (low ^ (low + span)) < _TOP
             span = np.where(settled, span, (~low + np.uint32(1)) & (_BOTTOM - np.uint32(1)))
@@ -128,9 +189,6 @@ class _Writer(_Coder):
         self.out[lanes, at] = low >> np.uint32(24)
         self.at[lanes] = at + 1
 
-    def put(self, lanes, start, size, total) -> None:
-        self._narrow(lanes, start, size, total)
-
     def finish(self) -> list[bytes]:
         every = np.arange(len(self.low))
         for _ in range(4):
@@ -158,69 +216,122 @@ class _Reader(_Coder):
         found = (self.code[lanes] - self.low[lanes]) // (self.range[lanes] // total)
         return np.minimum(found, total - np.uint32(1))
 
-    def take(self, lanes, start, size, total) -> None:
-        self._narrow(lanes, start, size, total)
-
 
-def _interval(counts: np.ndarray, sums: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    shift = kind.astype(np.uint64) << np.uint64(4)
-    size = (counts >> shift) & _U16
-    start = ((sums >> shift) & _U16) - size
-    return start.astype(np.uint32), size.astype(np.uint32), (sums >> np.uint64(48)).astype(np.uint32)
+def _chosen(coder: _Coder, lanes: np.ndarray, chance: np.ndarray, truth: np.ndarray | None) -> np.ndarray:
+    """Code, or read, a yes or no for each of ``lanes``."""
+    if not len(lanes):
+        return np.zeros(0, bool)
+    chance, total = chance.astype(np.uint32), np.uint32(_SCALE)
+    if truth is None:
+        truth = coder.peek(lanes, total) < chance
+    coder.narrow(lanes, np.where(truth, np.uint32(0), chance), np.where(truth, chance, total - chance), total)
+    return truth
+
+
+def _new_ids(coder: _Coder, model: _Model, lanes: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
+    """Code, or read, ids that are new in their lane: their length in bits by its counts, then the bits."""
+    counts = model.lengths[lanes]
+    ends = np.cumsum(counts, axis=1)
+    total = ends[:, -1].astype(np.uint32)
+    if ids is None:
+        length = (ends <= coder.peek(lanes, total)[:, None]).sum(axis=1)
+    else:
+        length = np.frexp(ids.astype(np.float64))[1].astype(np.int64)
+    each = np.arange(len(lanes))
+    size = counts[each, length]
+    coder.narrow(lanes, (ends[each, length] - size).astype(np.uint32), size.astype(np.uint32), total)
+    model.lengths[lanes, length] += _GAIN
+    # The highest bit is known; at most 16 of the others are coded at a time.
+    value = (length > 0).astype(np.int64)
+    left = np.maximum(length - 1, 0)
+    while left.any():
+        some = np.flatnonzero(left)
+        bits = np.minimum(left[some], 16)
+        left[some] -= bits
+        width = (np.int64(1) << bits).astype(np.uint32)
+        if ids is None:
+            part = coder.peek(lanes[some], width)
+        else:
+            part = ((ids[some].astype(np.int64) >> left[some]) & (width.astype(np.int64) - 1)).astype(np.uint32)
+        coder.narrow(lanes[some], part, np.ones(len(some), np.uint32), width)
+        value[some] = (value[some] << bits) | part
+    return value.astype(np.uint32)
+
+
+def _run(coder: _Coder, lanes: int, steps: int, last: int, slots: np.ndarray | None, ids: np.ndarray | None) -> np.ndarray:
+    """Code ``ids`` (a row per step, a column per lane), or read them; ``slots`` are theirs, the last lane has ``last`` ids."""
+    model, columns = _Model(lanes, steps), np.zeros((steps, lanes), np.uint32)
+    told = slots is not None
+    for step in range(steps):
+        n = lanes if step < last else lanes - 1
+        model.expect(n)
+        slot = slots[step, :n].astype(np.int64) if told else np.full(n, -1, np.int64)
+        open_ = np.ones(n, bool)
+
+        asked = np.flatnonzero(model.sureness[1])
+        held = _chosen(coder, asked, model.mixed(asked), slot[asked] == model.guessed[1][asked] if told else None)
+        model.learn_mix(asked, held)
+        slot[asked[held]] = model.guessed[1][asked[held]]
+        open_[asked[held]] = False
+
+        other = (model.sureness[1] == 0) | (model.guessed[0] != model.guessed[1])
+        asked = np.flatnonzero(open_ & other & (model.sureness[0] > 0))
+        cell = model.sureness[0][asked]
+        held = _chosen(coder, asked, _coded(model.alone[asked, cell]), slot[asked] == model.guessed[0][asked] if told else None)
+        _moved(model.alone, asked, cell, held)
+        slot[asked[held]] = model.guessed[0][asked[held]]
+        open_[asked[held]] = False
+
+        asked = np.flatnonzero(open_)
+        cell = (model.sureness[0][asked] > 0).astype(np.int64)
+        # The first id of a lane is new without saying so.
+        sure = model.known[asked] == 0
+        fresh = sure.copy()
+        ask = asked[~sure]
+        truth = slot[ask] == model.known[ask] if told else None
+        fresh[~sure] = _chosen(coder, ask, _coded(model.new[ask, cell[~sure]]), truth)
+        _moved(model.new, asked, cell, fresh)
+
+        old = asked[~fresh]
+        if len(old):
+            total = model.total[old].astype(np.uint32)
+            if not told:
+                slot[old] = model.find(old, coder.peek(old, total))
+            start, size = model.interval(old, slot[old])
+            coder.narrow(old, start.astype(np.uint32), size.astype(np.uint32), total)
+        new = asked[fresh]
+        if len(new):
+            slot[new] = model.known[new]
+            model.id_of[model.lane_slots[new] + slot[new]] = _new_ids(coder, model, new, ids[step, new] if told else None)
+            model.known[new] += 1
+        columns[step, :n] = model.id_of[model.lane_slots[:n] + slot]
+        model.learn(slot)
+    return columns
 
 
-_SLOTS, _HALF, _ONE = np.uint32(_SEEN), np.uint32(1 << 16), np.uint32(1)
+def _slots(columns: np.ndarray, last: int) -> np.ndarray:
+    """For each id its slot in its lane: how many other ids occurred first before it did."""
+    steps, lanes = columns.shape
+    slots = np.zeros((steps, lanes), np.uint16)
+    for lane in range(lanes):
+        ids = columns[: last if lane == lanes - 1 else steps, lane]
+        _, first, which = np.unique(ids, return_index=True, return_inverse=True)
+        order = np.empty(len(first), np.int64)
+        order[np.argsort(first, kind="stable")] = np.arange(len(first))
+        slots[: len(ids), lane] = order[which]
+    return slots
 
 
 def _encode_lanes(columns: np.ndarray, last: int) -> list[bytes]:
     """``columns``: one row per step and one column per block; the last block has ``last`` ids."""
     steps, lanes = columns.shape
-    wide = bool(columns.max(initial=0) >= _HALF)
-    model, out = _Model(lanes), _Writer(lanes, 64 + steps * (9 if wide else 6))
-    for step in range(steps):
-        n = lanes if step < last else lanes - 1
-        ids = columns[step, :n]
-        counts = model.expect(n)
-        slot = model.slot(ids)
-        kind = model.kind(ids, slot)
-        out.put(slice(0, n), *_interval(counts, counts * _ONES, kind))
-        rest = np.flatnonzero(kind <= ORDER_0)
-        raw = kind[rest] == RAW
-        if wide and raw.any():
-            out.put(rest[raw], ids[rest[raw]] >> np.uint32(16), _ONE, _HALF)
-        low = np.where(raw, ids[rest] & np.uint32(0xFFFF), slot[rest])
-        out.put(rest, low, _ONE, np.where(raw, _HALF, _SLOTS))
-        model.learn(ids, slot, kind)
-    return [bytes([wide]) + block for block in out.finish()]
+    out = _Writer(lanes, 64 + steps * 9)
+    _run(out, lanes, steps, last, _slots(columns, last), columns)
+    return out.finish()
 
 
 def _decode_lanes(coded: list[bytes], steps: int, last: int) -> np.ndarray:
-    lanes, wide = len(coded), bool(coded[0][0])
-    model, source = _Model(lanes), _Reader([block[1:] for block in coded])
-    columns = np.zeros((steps, lanes), np.uint32)
-    for step in range(steps):
-        n = lanes if step < last else lanes - 1
-        every = slice(0, n)
-        counts = model.expect(n)
-        sums = counts * _ONES
-        found = source.peek(every, (sums >> np.uint64(48)).astype(np.uint32))
-        kind = sum((found >= ((sums >> np.uint64(s)) & _U16)).astype(np.int64) for s in (0, 16, 32))
-        source.take(every, *_interval(counts, sums, kind))
-        rest = np.flatnonzero(kind <= ORDER_0)
-        raw = kind[rest] == RAW
-        high = np.zeros(len(rest), np.uint32)
-        if wide and raw.any():
-            high[raw] = source.peek(rest[raw], _HALF)
-            source.take(rest[raw], high[raw], _ONE, _HALF)
-        total = np.where(raw, _HALF, _SLOTS)
-        low = source.peek(rest, total)
-        source.take(rest, low, _ONE, total)
-        ids = np.where(kind == ORDER_2, model.id[1], model.id[0])
-        held = model.seen.take(model.seen_at[rest] + low % _SLOTS)
-        ids[rest] = np.where(raw, (high << np.uint32(16)) | low, held)
-        columns[step, every] = ids
-        model.learn(ids, model.slot(ids), kind)
-    return columns
+    return _run(_Reader(coded), len(coded), steps, last, None, None)
 
 
 def encode_ids(ids: np.ndarray) -> bytes:
@@ -342,5 +453,8 @@ def read_ids(spark: SparkSession, path: str, keep_ids: bool = False) -> DataFram
     chunks = spark.read.parquet(path)
     total = F.aggregate("n_tokens", F.lit(0).cast("bigint"), lambda a, n: a + n)
     firsts = with_running_totals(chunks.select("part", "chunk", "n_tokens"), ["part", "chunk"], first=total)
-    found = chunks.join(firsts.select("part", "chunk", "first"), ["part", "chunk"])
+    firsts = stage(firsts.select("part", "chunk", "first"))
+    # A row of 24 bytes for some four million ids; the coded bytes are not shuffled for them.
+    few = firsts.count() <= MOST_BROADCAST
+    found = chunks.join(F.broadcast(firsts) if few else firsts, ["part", "chunk"])
     return found.select("doc_ids", "n_tokens", "coded", "first").mapInArrow(open_chunks, schema)

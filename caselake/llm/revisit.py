@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,7 +59,7 @@ def _latest_before(captures: DataFrame) -> DataFrame:
     # A revisit of the same moment comes first, so that it doesn't see the response.
     order = ["page", "captured_at", "is_response", "record_id", "tie"]
     ranged = in_ranges(captures, order)
-    response = F.when(F.col("is_response"), F.struct("captured_at", "record_id", "etag", "last_modified", "headers"))
+    response = F.when(F.col("is_response"), F.struct("captured_at", "record_id", "etag", "last_modified", "headers", "tie"))
     back = Window.partitionBy("part", "page").orderBy(*[F.col(c).asc_nulls_first() for c in order[1:]])
     seen = ranged.withColumn("seen", F.last(response, ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1)))
 
@@ -78,6 +80,15 @@ def _latest_before(captures: DataFrame) -> DataFrame:
     return met.withColumn("found", found).drop("seen", "from_page", "carried", "part")
 
 
+def _told_apart(columns: Sequence[str]) -> Column:
+    """A hash of a row's values that tells NULL from a value."""
+    return F.xxhash64(*[part for c in columns for part in (F.col(c), F.col(c).isNull())])
+
+
+# What makes a response the one that was found; the payload stands for itself by its hash.
+IDENTITY = ("record_id", "url", "captured_at", "etag", "last_modified", "payload")
+
+
 def resolve_revisits(records: DataFrame) -> DataFrame:
     """``record_id, page, status, response_id, headers, payload`` for every revisit in ``records``.
 
@@ -92,7 +103,8 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     * ``changed``: it is not, and ``missing``: there is no earlier response.
       Both keep their own headers and have no payload.
 
-    Of responses captured at one moment the larger record id counts. A weak
+    Of responses captured at one moment the larger record id counts. Record ids
+    may clash: the payload is that of the response found, by its address, time, validators and content. A weak
     ETag equals the strong one. Null addresses and null times have no earlier
     response. Other kinds and other columns are left out, repeated revisits
     stay, repeated responses count once, and an empty table gives an empty one.
@@ -105,7 +117,7 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
         F.regexp_replace("etag", r"^W/", "").alias("etag"),
         "last_modified",
         "headers",
-        F.xxhash64("url", "etag", "last_modified").alias("tie"),
+        _told_apart(IDENTITY).alias("tie"),
     )
     revisits = stage(_latest_before(captures)).filter(~F.col("is_response"))
     dated = F.col("captured_at").isNotNull() & F.col("page").isNotNull() & F.col("found.captured_at").isNotNull()
@@ -121,8 +133,15 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
         "page",
         "status",
         F.when(taken, F.col("found.record_id")).alias("response_id"),
+        F.when(taken, F.col("found.tie")).alias("tie"),
         F.when(taken, merged_headers(F.col("found.headers"), F.col("headers"))).otherwise(_lower_names(F.col("headers"))).alias("headers"),
     )
-    payloads = records.filter("kind = 'response'").groupBy(F.col("record_id").alias("response_id")).agg(F.max("payload").alias("payload"))
-    out = judged.join(stage(payloads), "response_id", "left")
+    judged = stage(judged)
+    responses = records.filter("kind = 'response'").select(
+        F.col("record_id").alias("response_id"), _told_apart(IDENTITY).alias("tie"), "payload"
+    )
+    # Only responses that stand for a revisit are moved; the same one may have been recorded twice.
+    needed = responses.join(judged.filter("tie IS NOT NULL").select("response_id", "tie").distinct(), ["response_id", "tie"], "left_semi")
+    payloads = stage(needed.dropDuplicates(["response_id", "tie"]))
+    out = judged.join(payloads, ["response_id", "tie"], "left")
     return out.select("record_id", "page", "status", "response_id", "headers", "payload")

@@ -72,7 +72,9 @@ def _in_cells(classes: DataFrame, centres: np.ndarray | None, threshold: float)
     if centres is None:
         return classes.withColumns({"cell": F.lit(0), "guest": F.lit(False)})
     reach = math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-9
-    apart = np.linalg.norm(centres[:, None] - centres[None], axis=2) + np.eye(len(centres))
+    # One product of the unit centres: its size is that of their number alone, whatever their width.
+    apart = np.sqrt(np.maximum(0.0, 2 - 2 * (centres @ centres.T)))
+    np.fill_diagonal(apart, 1.0)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

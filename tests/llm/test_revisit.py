@@ -78,6 +78,22 @@ def test_headers_are_merged_by_what_may_change(spark):
     assert (found[3].status, found[3].headers, found[3].payload) == ("missing", {}, None)
 
 
+def test_clashing_record_ids_keep_their_own_payloads(spark):
+    """One record id at two addresses, and two responses that differ in nothing but the payload."""
+    rows = [
+        (1, "a.org/x", 1, "response", "e1", None, {}, "AAA"),
+        (1, "z.org/x", 1, "response", "e2", None, {}, "ZZZ"),
+        (2, "a.org/x", 2, "revisit", "e1", None, {}, None),
+        (3, "z.org/x", 2, "revisit", None, None, {}, None),
+        (4, "c.org/x", 1, "response", None, None, {}, "one"),
+        (4, "c.org/x", 1, "response", None, None, {}, "two"),
+        (5, "c.org/x", 2, "revisit", None, None, {}, None),
+        (6, "c.org/x", 3, "revisit", None, None, {}, None),
+    ]
+    found = {r.record_id: r.payload for r in resolve_revisits(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert (found[2], found[3]) == ("AAA", "ZZZ") and found[5] == found[6] and found[5] in ("one", "two")
+
+
 def test_empty_tables_and_other_columns(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert resolve_revisits(empty).count() == 0
