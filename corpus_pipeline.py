@@ -13,30 +13,59 @@ from caselake.llm.queries import vocabulary
 from caselake.session import stage
 
 
+def _numbered(docs: DataFrame, *kept: str) -> DataFrame:
+    """``docs`` with all columns but ``kept`` named by number, so that none can clash with what an operator adds."""
+    return docs.select(*[F.col(f"`{c}`").alias(c if c in kept else f"__{i}") for i, c in enumerate(docs.columns)])
+
+
+def _named(rows: DataFrame, docs: DataFrame, *kept: str) -> DataFrame:
+    """The columns of ``docs`` under their own names again."""
+    return rows.select(*[F.col(c if c in kept else f"__{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a recognisable language go."""
-    return identify(docs, fit(docs)).filter("NOT rejected").select(*docs.columns)
+    """Documents without a recognisable language go, null and empty texts and those without letters among them.
+
+    The model learns from rows with text and a language; without any, nothing is recognised.
+    All columns are passed on as they are, whatever their names; texts are read whole.
+    """
+    model = fit(docs.select("doc_id", "text", "lang"))
+    return _named(identify(_numbered(docs, "text"), model).filter("NOT rejected"), docs, "text")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that many documents share stay in one of them; ``n_chars`` follows the text."""
-    kept = drop_shared_lines(docs).select(*docs.columns)
+    """Lines that many documents share stay in one of them; ``n_chars`` follows the text.
+
+    A null text becomes the empty text and all rows stay. The other columns
+    are passed on as they are, whatever their names.
+    """
+    ids = ("doc_id", "text")
+    kept = _named(drop_shared_lines(_numbered(docs, *ids)), docs, *ids)
     return kept.withColumn("n_chars", F.char_length("text").cast("bigint")).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document of the smallest id stays; of rows of one id and text, one."""
+    """Of each group of near-duplicates the document of the smallest id stays; of rows of one id and text, one.
+
+    Null texts, texts without words and rows without an id are near nothing
+    and stay. All columns are passed on as they are, whatever their names.
+    """
     found = near_duplicates(docs.select("doc_id", "text"), Near(words=5, percent=80)).filter("kept")
     named = found.groupBy(F.col("doc_id").alias("kept_id"), "version").agg(F.count(F.lit(1)).alias("rows"))
     named = stage(named)
+    rows = _numbered(docs, "doc_id", "text")
     same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.xxhash64("text") == F.col("version"))
-    kept = docs.join(named, same, "left_semi")
+    kept = rows.join(named, same, "left_semi")
     # Rows are compared once more only where some repeat.
-    return kept if named.filter("rows > 1").isEmpty() else kept.dropDuplicates(["doc_id", "text"])
+    kept = kept if named.filter("rows > 1").isEmpty() else kept.dropDuplicates(["doc_id", "text"])
+    return _named(kept, docs, "doc_id", "text")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each document lies in sequences of at most 4096 ids."""
+    """Where each piece of each document lies in sequences of at most 4096 ids.
+
+    A null or empty text is its end id alone; columns other than the id and the text are left out.
+    """
     return pack(docs.select("doc_id", "text"), vocabulary("word_bpe_49k.json"), end_id=2)
 
 
