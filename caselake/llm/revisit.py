@@ -142,6 +142,7 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     )
     # Only responses that stand for a revisit are moved; the same one may have been recorded twice.
     needed = responses.join(judged.filter("tie IS NOT NULL").select("response_id", "tie").distinct(), ["response_id", "tie"], "left_semi")
-    payloads = stage(needed.dropDuplicates(["response_id", "tie"]))
+    # All three go by the same keys, so payloads are shuffled once.
+    payloads = needed.dropDuplicates(["response_id", "tie"])
     out = judged.join(payloads, ["response_id", "tie"], "left")
     return out.select("record_id", "page", "status", "response_id", "headers", "payload")
