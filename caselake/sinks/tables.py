@@ -274,7 +274,7 @@ def _merge_into(
         return
     with lease(spark, name) as held:
         finish_rewrites(spark, name)
-        old = None if delete_missing else _files_to_replace(_matched_files(target, fixed, keys, null_safe), name)
+        old = None if delete_missing else files_to_replace(_matched_files(target, fixed, keys, null_safe), name)
         if old is None:
             merged = merge_rows(target, fixed, keys, null_safe, delete_missing)
             save_table(merged, name, partition_by=parts, keep_previous=keep_previous)
@@ -298,7 +298,7 @@ def _matched_files(target: DataFrame, updates: DataFrame, keys: Sequence[str], n
     return matched.select("file_path").distinct()
 
 
-def _files_to_replace(found: DataFrame, name: str) -> list[str] | None:
+def files_to_replace(found: DataFrame, name: str) -> list[str] | None:
     """The paths in ``found`` if they are few enough to be replaced one by one."""
     spark = found.sparkSession
     listed = [row[0] for row in found.limit(REPLACED_FILES + 1).collect()]
@@ -584,7 +584,7 @@ def _cluster_overlapping(spark: SparkSession, name: str, note: dict, file_bytes:
         return _z(df, columns, note["bounds"], note["bits"]) if note["bounds"] else F.col(f"`{columns[0]}`")
 
     with staged(overlapping_files(table, placed(table), parts)) as found:
-        old = _files_to_replace(found.select("file_path"), name)
+        old = files_to_replace(found.select("file_path"), name)
         if not old:
             return old is not None
         size = found.agg(F.sum("file_size")).first()[0]

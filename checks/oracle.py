@@ -620,6 +620,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "marts_from_cells_all": over("base", _side_by_side("base")),
         "medallion_recovery": over("base", _side_by_side("base")),
+        "medallion_withdrawal": over("base", _side_by_side("base")),
         # layers
         "medallion_end_to_end": over("base", condition_mart("base", "first")),
         "medallion_incremental": over("base", condition_mart("base", "first")),

@@ -721,6 +721,21 @@ def medallion_recovery(spark, sf_dir):
     return _side_by_side({name: spark.table(layout.mart(name)) for name in gold.MART_KEYS})
 
 
+@query
+def medallion_withdrawal(spark, sf_dir):
+    """Three overlapping batches, the first one, with rows of its own, withdrawn again: all three marts."""
+    database = scratch_database(spark)
+    layout = medallion.Layout(bronze=database, silver=database, gold=database, keep_previous=False)
+    early, rows = F.col("date_of_admission") < FIRST_LOAD_BEFORE, admissions(spark, sf_dir)
+    own = F.when(F.col("admission_id") % 5 == 0, "Elsewhere").otherwise(F.col("hospital"))
+    first = rows.filter(F.col("admission_id") % 3 > 0).withColumn("hospital", own)
+    options = {"schema": "string", "mode": "append", "ingested_at": _ingested_at(), "cluster": False}
+    for batch, load in (("1", first), ("2", rows.filter(early)), ("3", rows.filter(~early))):
+        medallion.refresh(spark, _csv(load), layout, incremental=True, batch_id=batch, **options)
+    medallion.withdraw(spark, layout, ["1"], cluster=False)
+    return _side_by_side({name: spark.table(layout.mart(name)) for name in gold.MART_KEYS})
+
+
 @cache
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)

@@ -261,3 +261,80 @@ def test_only_live_tables_remain_after_cleaning(spark, layout, tmp_path):
     assert [x for name in {layout.bronze, layout.silver, layout.gold} for x in remove_replaced(spark, name, 0)] == []
     remove_old_stages(spark, min_age_hours=0)
     assert spark.table(layout.clean_table).count() == len(ROWS)
+
+
+def layers(spark, layout):
+    clean = spark.table(layout.clean_table).drop("_source_file", "_ingested_at")
+    clean = sorted(map(repr, clean.select(*sorted(clean.columns)).collect()))
+    return clean, marts(spark, layout), sorted(r[0] for r in spark.table(layout.ledger).collect())
+
+
+@pytest.fixture
+def overlapping(spark, layout, tmp_path):
+    """Three batches that share records, and the sources by batch."""
+    loads = {"1": ROWS[:4], "2": [*ROWS[1:3], ROWS[4]], "3": [ROWS[2], *ROWS[4:]]}
+    sources = {b: feed(tmp_path / b, rows) for b, rows in loads.items()}
+    all_at_once(spark, layout, sources)
+    return sources
+
+
+def all_at_once(spark, layout, sources):
+    layout.create(spark)
+    for batch, source in sources.items():
+        medallion.ingest(spark, source, layout, schema="string", mode="append", batch_id=batch)
+    medallion.update(spark, layout, cluster=False)
+
+
+def without(spark, layout, sources):
+    """The layers of a full run over ``sources`` alone."""
+    other = replace(layout, **{n: f"{getattr(layout, n)}_full" for n in ("bronze", "silver", "gold")})
+    all_at_once(spark, other, sources)
+    return layers(spark, other)
+
+
+@pytest.mark.parametrize("gone", ["1", "2"])
+def test_a_withdrawn_batch_leaves_what_a_run_without_it_gives(spark, layout, overlapping, gone):
+    medallion.withdraw(spark, layout, [gone], cluster=False)
+    left = {b: s for b, s in overlapping.items() if b != gone}
+    assert layers(spark, layout) == without(spark, layout, left)
+    assert {r[0] for r in spark.table(layout.raw_table).select("_batch_id").distinct().collect()} == set(left)
+    assert spark.table(layout.keys_table).distinct().count() == spark.table(layout.clean_table).count()
+    assert medallion.finish_withdrawals(spark, layout) == []
+
+
+def test_records_of_a_withdrawn_batch_can_come_again(spark, layout, overlapping, tmp_path):
+    before = {r[0] for r in spark.table(layout.clean_table).select("_record_hash").collect()}
+    medallion.withdraw(spark, layout, ["1", "2"], cluster=False)
+    assert spark.table(layout.clean_table).count() == 3
+    options = {"schema": "string", "mode": "append", "cluster": False, "incremental": True}
+    medallion.refresh(spark, feed(tmp_path / "again", ROWS), layout, batch_id="4", **options)
+    rows = [r[0] for r in spark.table(layout.clean_table).select("_record_hash").collect()]
+    assert set(rows) == before and len(rows) == len(before)
+
+
+def test_a_replaced_batch(spark, layout, overlapping, tmp_path):
+    source = feed(tmp_path / "new", [ROWS[0], ROWS[5]])
+    medallion.replace_batch(spark, source, layout, "1", cluster=False, schema="string")
+    wanted = without(spark, layout, {"2": overlapping["2"], "3": overlapping["3"], "1": source})
+    assert layers(spark, layout) == wanted
+
+
+@pytest.mark.parametrize("step", ["_forget_keys", "summarize"])
+def test_the_next_run_completes_a_withdrawal(spark, layout, overlapping, monkeypatch, step):
+    def stop(*_, **__):
+        raise OSError("the driver is gone")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(medallion, step, stop)
+        with pytest.raises(OSError, match="gone"):
+            medallion.withdraw(spark, layout, ["2"], cluster=False)
+    medallion.update(spark, layout, cluster=False, incremental=True)
+    assert layers(spark, layout) == without(spark, layout, {b: overlapping[b] for b in "13"})
+
+
+def test_all_batches_can_be_withdrawn_and_unknown_ones_cannot(spark, layout, overlapping):
+    with pytest.raises(ValueError, match="nine"):
+        medallion.withdraw(spark, layout, ["1", "nine"], cluster=False)
+    medallion.withdraw(spark, layout, ["1", "2", "3"], cluster=False)
+    assert layers(spark, layout) == ([], {n: [] for n in gold.MART_KEYS}, [])
+    assert spark.table(layout.raw_table).count() == 0 and spark.table(layout.keys_table).count() == 0
