@@ -200,6 +200,21 @@ def _top(select: str, by: str, key: str) -> str:
     return f"SELECT * FROM ({select}) ORDER BY {by} DESC NULLS LAST, {key} ASC NULLS FIRST LIMIT 1"
 
 
+def _profile(column: str) -> str:
+    """One column of the CSV feed, where empty text is null; the feed has no decimals, timestamps or truth values."""
+    text = f"nullif(cast({column} AS varchar), '')"
+    whole = f"regexp_full_match({text}, '[+-]?[0-9]+')"
+    number = f"regexp_full_match({text}, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?')"
+    day = f"regexp_full_match({text}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') AND try_cast({text} AS date) IS NOT NULL"
+    return (
+        f"SELECT '{column}' AS column_name, CASE WHEN count({text}) = 0 THEN 'string'"
+        f" WHEN bool_and({whole} AND try_cast({text} AS integer) IS NOT NULL) THEN 'int'"
+        f" WHEN bool_and({whole} AND try_cast({text} AS bigint) IS NOT NULL) THEN 'bigint'"
+        f" WHEN bool_and({number}) THEN 'double' WHEN bool_and({day}) THEN 'date' ELSE 'string' END AS data_type,"
+        f" count(*) - count({text}) AS n_null, count(*) AS n_rows, max(length({text})) AS longest FROM adm"
+    )
+
+
 def _flag_counts() -> str:
     flags = "dq_age_valid dq_billing_valid dq_dates_valid dq_length_of_stay_valid dq_name_valid dq_passed".split()
     one = (
@@ -289,6 +304,11 @@ def oracle_sql() -> dict[str, str]:
         "SELECT medical_condition, admission_type, count(*) AS admission_count FROM base "
         "GROUP BY medical_condition, admission_type"
     )
+    bronze = over(
+        "adm",
+        f"SELECT *, {lineage}, 'feed' AS _source_file, {_hash(DATA_COLUMNS)} AS _record_hash "
+        f"FROM (SELECT {csv_read} FROM adm)",
+    )
     insight = "SELECT medical_condition, {0} FROM ({1})".format
 
     def roll_up(how: str, mart: str, key: str, column: str, alias: str) -> str:
@@ -301,6 +321,7 @@ def oracle_sql() -> dict[str, str]:
     sql = {
         # sources
         "scan_csv_infer": over("adm", f"SELECT {csv_read} FROM adm"),
+        "csv_profile": over("adm", " UNION ALL ".join(map(_profile, DATA_COLUMNS))),
         "scan_table": over("adm", adm("*")),
         "sql_projection": over("adm", adm("name, gender, blood_type")),
         "ingest_metadata": f"SELECT *, {lineage}, 'orders.parquet' AS _source_file, "
@@ -308,11 +329,8 @@ def oracle_sql() -> dict[str, str]:
         "clean_column_names": over(
             "adm", adm("admission_id, name AS patient_name, billing_amount AS billing_amount_, test_results")
         ),
-        "bronze_ingest": over(
-            "adm",
-            f"SELECT *, {lineage}, 'feed' AS _source_file, {_hash(DATA_COLUMNS)} AS _record_hash "
-            f"FROM (SELECT {csv_read} FROM adm)",
-        ),
+        "bronze_ingest": bronze,
+        "bronze_ingest_observed": bronze,
         "record_hash": over("adm", adm(f"admission_id, {_hash(DATA_COLUMNS)} AS record_hash")),
         # projections
         "project_alias": over(

@@ -14,6 +14,7 @@ from caselake.functions.identity import record_hash
 from caselake.operators import quality
 from caselake.operators import summary as S
 from caselake.operators.columns import cast_columns, clean_column_names, null_defaults, with_lineage
+from caselake.operators.inference import column_profile
 from caselake.plans import gold, medallion, silver
 from caselake.plans.admissions import admissions
 from caselake.session import fresh_path, scratch_database, stage
@@ -74,6 +75,11 @@ def scan_csv_infer(spark, sf_dir):
     return read_csv(spark, _feed(spark, sf_dir), schema="infer")
 
 
+@query
+def csv_profile(spark, sf_dir):
+    return column_profile(read_csv(spark, _feed(spark, sf_dir), schema="string"))
+
+
 @query
 def scan_table(spark, sf_dir):
     name = f"{scratch_database(spark)}.admissions"
@@ -115,18 +121,27 @@ def clean_column_names_(spark, sf_dir):
 _QUERIES["clean_column_names"] = _QUERIES.pop("clean_column_names_")
 
 
-@query
-def bronze_ingest(spark, sf_dir):
+def _ingested(spark: SparkSession, sf_dir: str, schema: str) -> DataFrame:
     database = scratch_database(spark)
     layout = medallion.Layout(bronze=database)
     medallion.ingest(
-        spark, _feed(spark, sf_dir), layout, schema="infer", batch_id=BATCH_ID, ingested_at=_ingested_at()
+        spark, _feed(spark, sf_dir), layout, schema=schema, batch_id=BATCH_ID, ingested_at=_ingested_at()
     )
     folder = F.element_at(F.split("_source_file", "/"), -2)
     raw = spark.table(layout.raw_table)
     return raw.withColumns({"_source_file": folder, "_ingested_at": _as_text("_ingested_at")})
 
 
+@query
+def bronze_ingest(spark, sf_dir):
+    return _ingested(spark, sf_dir, "infer")
+
+
+@query
+def bronze_ingest_observed(spark, sf_dir):
+    return _ingested(spark, sf_dir, "observe")
+
+
 @query
 def record_hash_(spark, sf_dir):
     return admissions(spark, sf_dir).select("admission_id", record_hash(DATA_COLUMNS).alias("record_hash"))
