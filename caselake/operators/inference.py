@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DecimalType
 
@@ -16,7 +16,7 @@ NUMERIC, TEMPORAL = INT | LONG | WHOLE | DOUBLE, DATE | TIMESTAMP
 
 MOST_DIGITS = 38
 _INTEGER = r"^[+-]?[0-9]+\z"
-_NUMBER = r"^([+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|NaN|[+-]?Inf(inity)?)\z"
+_NUMBER = r"^([+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|[+-]Inf(inity)?)\z"
 _DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 _TIMESTAMP = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?(Z|[+-][0-9]{2}:[0-9]{2})?\z"
 # Digits before the point that hold every value of a type.
@@ -53,28 +53,39 @@ class ColumnProfile:
 
 
 def _digits(text: Column) -> Column:
-    return F.char_length(F.ltrim(text, F.lit("+-")))
+    return F.char_length(F.ltrim(text, F.lit("+-0")))
+
+
+def _begins_like_a_number(text: Column) -> Column:
+    """Whether the first character is a sign, a point or a digit (or ``,`` or ``/``): a byte comparison, no pattern."""
+    return (text >= "+") & (text < ":")
 
 
 def _kind(text: Column) -> Column:
-    whole = text.rlike(_INTEGER)
-    return (
-        F.when(text.isNull(), 0)
-        .when(whole & text.try_cast("int").isNotNull(), INT)
-        .when(whole & text.try_cast("bigint").isNotNull(), LONG)
-        .when(whole & (_digits(text) <= MOST_DIGITS), WHOLE)
+    whole = (
+        F.when(text.try_cast("int").isNotNull(), INT)
+        .when(text.try_cast("bigint").isNotNull(), LONG)
+        .when(_digits(text) <= MOST_DIGITS, WHOLE)
+        .otherwise(DOUBLE)
+    )
+    figures = (
+        F.when(text.rlike(_INTEGER), whole)
         .when(text.rlike(_NUMBER), DOUBLE)
         .when(text.rlike(_DATE) & text.try_cast("date").isNotNull(), DATE)
         .when(text.rlike(_TIMESTAMP) & text.try_cast("timestamp").isNotNull(), TIMESTAMP)
+        .otherwise(TEXT)
+    )
+    return (
+        F.when(text.isNull(), 0)
+        .when(_begins_like_a_number(text), figures)
         .when(F.lower(text).isin("true", "false"), BOOLEAN)
+        .when(text.isin("NaN", "Inf", "Infinity"), DOUBLE)
         .otherwise(TEXT)
     )
 
 
-def _type(text: Column) -> Column:
-    """An aggregate: the type that takes all values of ``text``; ``string`` if there are none."""
-    seen = F.coalesce(F.bit_or(_kind(text)), F.lit(0))
-    digits = F.max(F.when(text.rlike(_INTEGER), _digits(text)))
+def _type(seen: Column, digits: Column) -> Column:
+    """The type that takes all values of the kinds ``seen``; ``string`` if there are none."""
 
     def has(kinds: int) -> Column:
         return seen.bitwiseAND(F.lit(kinds)) != 0
@@ -94,28 +105,42 @@ def _type(text: Column) -> Column:
     )
 
 
-def _measures(name: str) -> dict[str, Column]:
-    text = F.col(f"`{name}`")
-    return {
-        "data_type": _type(text),
-        "n_null": F.count_if(text.isNull()),
-        "n_rows": F.count(F.lit(1)),
-        "longest": F.max(F.char_length(text)).cast("bigint"),
-    }
-
-
 def profile_measures(columns: Sequence[str]) -> list[Column]:
-    """Aggregates over text columns for ``agg`` or ``observe``; :func:`profiles` reads their result."""
-    return [
-        measure.alias(f"{what}_{i}") for i, name in enumerate(columns) for what, measure in _measures(name).items()
+    """Aggregates over text columns for ``agg`` or ``observe``, each stated once; :func:`profile_rows` reads them."""
+    measures = [F.count(F.lit(1)).alias("n_rows")]
+    for i, name in enumerate(columns):
+        text = F.col(f"`{name}`")
+        # Only a whole number beyond bigint needs its digits counted, and it is longer than this.
+        long_whole = (F.char_length(text) >= 19) & _begins_like_a_number(text) & text.rlike(_INTEGER)
+        measures += [
+            F.coalesce(F.bit_or(_kind(text)), F.lit(0)).alias(f"seen_{i}"),
+            F.max(F.when(long_whole, _digits(text))).alias(f"digits_{i}"),
+            F.count(text).alias(f"n_filled_{i}"),
+            F.max(F.char_length(text)).alias(f"longest_{i}"),
+        ]
+    return measures
+
+
+def profile_rows(measured: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``column_name, data_type, n_null, n_rows, longest`` per column, from one row of :func:`profile_measures`."""
+    rows = [
+        F.struct(
+            F.lit(name).alias("column_name"),
+            _type(F.col(f"seen_{i}"), F.col(f"digits_{i}")).alias("data_type"),
+            (F.col("n_rows") - F.col(f"n_filled_{i}")).alias("n_null"),
+            F.col("n_rows"),
+            F.col(f"longest_{i}").cast("bigint").alias("longest"),
+        )
+        for i, name in enumerate(columns)
     ]
+    return measured.select(F.inline(F.array(*rows)))
 
 
-def profiles(columns: Sequence[str], found: Mapping[str, object]) -> list[ColumnProfile]:
-    return [
-        ColumnProfile(name, *(found[f"{what}_{i}"] for what in ("data_type", "n_null", "n_rows", "longest")))
-        for i, name in enumerate(columns)
-    ]
+def profiles(spark: SparkSession, columns: Sequence[str], observed: Mapping[str, object]) -> list[ColumnProfile]:
+    """The profiles of ``columns`` from the observed measures, on the driver: one row a column."""
+    measures = ", ".join(f"{name} bigint" for name in observed)
+    measured = spark.createDataFrame([tuple(observed.values())], measures)
+    return [ColumnProfile(*row) for row in profile_rows(measured, columns).collect()]
 
 
 def column_profile(df: DataFrame) -> DataFrame:
@@ -127,12 +152,7 @@ def column_profile(df: DataFrame) -> DataFrame:
     a suffix or white space around them are text, as a cast back would not
     return them. An empty table has ``string`` columns without a longest text.
     """
-    whole = df.agg(*profile_measures(df.columns))
-    rows = [
-        F.struct(F.lit(name).alias("column_name"), *[F.col(f"{what}_{i}").alias(what) for what in _measures(name)])
-        for i, name in enumerate(df.columns)
-    ]
-    return whole.select(F.inline(F.array(*rows)))
+    return profile_rows(df.agg(*profile_measures(df.columns)), df.columns)
 
 
 def cast_to(df: DataFrame, types: Mapping[str, str]) -> DataFrame:

@@ -40,4 +40,4 @@ def profiled(text: DataFrame, source_column: str) -> Iterator[tuple[DataFrame, l
     seen = Observation()
     observed = text.observe(seen, *profile_measures(text.columns))
     with staged(observed.select("*", F.col("_metadata.file_path").alias(source_column))) as stored:
-        yield stored, profiles(text.columns, seen.get)
+        yield stored, profiles(text.sparkSession, text.columns, seen.get)

@@ -23,6 +23,9 @@ COLUMNS = {
     "truth": (["true", "FALSE", None], "boolean"),
     "mixed": (["true", "1", None], "string"),
     "daynum": (["2024-02-29", "7", None], "string"),
+    "zeros": (["0" * 30 + "7", "12", None], "int"),
+    "infinite": (["Infinity", "+Inf", "1"], "double"),
+    "slash": (["/1", "2", None], "string"),
     "nothing": ([None, None, None], "string"),
     "spaced": ([" 1", "2", None], "string"),
     "suffix": (["1d", "2", None], "string"),
