@@ -13,8 +13,10 @@ from caselake.session import stage
 
 # The share of documents that hold a term, from and up to which it identifies text.
 RAREST, COMMONEST = 0.0005, 0.2
-# Random parts of the lexicon, each hashed on its own to so many hexadecimal digits.
-SUBSETS, DIGITS = 64, 4
+# Random subsets of the lexicon, each hashed on its own to so many hexadecimal digits, and how many draws a term has: it is
+# in the subsets that these give, so subsets overlap. The number of subsets is a power of two.
+SUBSETS, DIGITS, DRAWS = 128, 4, 2
+_BITS = SUBSETS.bit_length() - 1
 _EMPTY = "." * DIGITS
 # A lexicon of up to this many terms, some 30 MB, is broadcast; a larger one is joined by a shuffle.
 MOST_BROADCAST = 1_000_000
@@ -44,12 +46,18 @@ def lexicon(docs: DataFrame, rarest: float = RAREST, commonest: float = COMMONES
 def _hashed(found: Column, instead: Column) -> Column:
     """The fingerprint of the lexicon terms ``found``, or of the number ``instead`` if there are none.
 
-    A term's part is the top bits of its hash. So the sorted terms hold the
-    parts one after the other, and one pass hashes them all.
+    Each draw turns a term's hash by some bits, and the top bits name a
+    subset. So the sorted turned hashes hold the subsets' members one subset
+    after the other, and one pass hashes them all.
     """
 
     def part(term: Column) -> Column:
-        return F.shiftrightunsigned(term.bitwiseXOR(F.lit(-(2**63))), 65 - SUBSETS.bit_length()).cast("int")
+        return F.shiftrightunsigned(term.bitwiseXOR(F.lit(-(2**63))), 64 - _BITS).cast("int")
+
+    def turned(draw: int) -> Column:
+        bits = draw * _BITS
+        left, right = lambda t: F.shiftleft(t, bits), lambda t: F.shiftrightunsigned(t, 64 - bits)
+        return F.transform(found, lambda t: left(t).bitwiseOR(right(t))) if draw else found
 
     def digits(number: Column) -> Column:
         return F.right(F.concat(F.lit("0" * DIGITS), F.hex(number)), F.lit(DIGITS))
@@ -70,12 +78,13 @@ def _hashed(found: Column, instead: Column) -> Column:
         return F.concat(closed(s), F.repeat(F.lit(_EMPTY), SUBSETS - 1 - s["at"]))
 
     start = state(F.lit(-1), F.lit(0).cast("bigint"), F.lit(""))
-    listed = F.aggregate(F.sort_array(found), start, add, finish)
+    drawn = F.concat(*[turned(draw) for draw in range(DRAWS)])
+    listed = F.aggregate(F.sort_array(drawn), start, add, finish)
     return F.when(F.size(found) > 0, listed).otherwise(F.repeat(digits(F.xxhash64(instead)), SUBSETS))
 
 
 def likeness(one: Column, other: Column) -> Column:
-    """The share of parts, of those not empty in both, in which two fingerprints agree."""
+    """The share of subsets, of those not empty in both, in which two fingerprints agree."""
 
     def part(fingerprint: Column, i: Column) -> Column:
         return fingerprint.substr(i * DIGITS + 1, F.lit(DIGITS))
@@ -142,16 +151,16 @@ def fingerprints(
 ) -> DataFrame:
     """``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next`` per row of ``docs``.
 
-    The terms of a text whose inverse document frequency lies in the band are
-    split into ``SUBSETS`` random parts by their hash; each part's distinct
-    terms are sorted and hashed. Equal texts have equal fingerprints, and
-    parts change one by one as terms do. The edited text has its last
-    ``floor(n_chars / 2)`` code points replaced by the first ones of the next
-    document. ``near_edited`` and ``near_next`` are the shares of parts equal
-    to those of the edited text and of the next document.
+    The terms of a text whose inverse document frequency lies in the band meet
+    ``SUBSETS`` random subsets of the lexicon, each term in up to ``DRAWS`` of
+    them; a subset's distinct terms are sorted and hashed. Equal texts have
+    equal fingerprints, and subsets change one by one as terms do. The edited
+    text has its last ``floor(n_chars / 2)`` code points replaced by the first
+    ones of the next document. ``near_edited`` and ``near_next`` are the shares
+    of subsets equal to those of the edited text and of the next document.
 
     A text without a term of the band uses the hash of all its terms, one
-    without terms the hash of the text, in every part. Null text is empty.
+    without terms the hash of the text, in every subset. Null text is empty.
     Rows without an id come after all others, repeated rows next to each other;
     an empty table gives an empty table.
     """

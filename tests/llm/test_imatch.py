@@ -1,10 +1,13 @@
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
+import regex
+import xxhash
 from pyspark.sql import functions as F
 
-from caselake.llm.imatch import DIGITS, SUBSETS, fingerprints, lexicon, with_next
+from caselake.llm.imatch import DIGITS, DRAWS, SUBSETS, fingerprints, lexicon, with_next
 
 
 def parts(fingerprint):
@@ -36,6 +39,57 @@ def test_edited_texts_and_likeness_against_brute_force(spark, sf_dir):
     assert sum(near) > 10 * sum(r.near_next for r in found.values())
 
 
+def hash64(raw, seed=42):
+    return xxhash.xxh64_intdigest(raw, seed=seed)
+
+
+def number(n):
+    return n.to_bytes(8, "little")
+
+
+def words(text):
+    return {w for w in regex.split(r"[^\p{L}\p{N}]+", text.lower()) if w}
+
+
+def plain(text, band):
+    """The fingerprint of a text, subset by subset."""
+    hashes = [hash64(w.encode()) for w in words(text) if w in band]
+    if not hashes:
+        state = 42
+        for h in sorted((hash64(w.encode()) for w in words(text)), key=lambda h: h - 2**64 if h >= 2**63 else h):
+            state = hash64(number(h), state)
+        state = state if words(text) else hash64(text.encode())
+        return f"{hash64(number(state)):016X}"[-DIGITS:] * SUBSETS
+    bits = SUBSETS.bit_length() - 1
+    members = {}
+    for h in hashes:
+        for draw in range(DRAWS):
+            turn = draw * bits
+            member = (h << turn | h >> (64 - turn)) % 2**64
+            members.setdefault((member ^ 2**63) >> (64 - bits), []).append(member)
+    out = ""
+    for subset in range(SUBSETS):
+        if subset not in members:
+            out += "." * DIGITS
+            continue
+        state = None
+        for member in sorted(members[subset]):
+            seed = hash64(subset.to_bytes(4, "little") if state is None else number(state))
+            state = hash64(number(member), seed)
+        out += f"{state:016X}"[-DIGITS:]
+    return out
+
+
+def test_fingerprints_against_brute_force(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = docs.union(spark.createDataFrame([(-1, None), (-2, "..."), (-3, "Zzyzx\u00c9 qwv")], docs.schema))
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    held = Counter(w for text in texts.values() for w in words(text))
+    band = {w for w, n in held.items() if 0.01 <= n / len(texts) <= 0.2}
+    found = {r.doc_id: r.fingerprint for r in fingerprints(docs, 0.01, 0.2).collect()}
+    assert found == {doc: plain(text, band) for doc, text in texts.items()}
+
+
 def test_the_lexicon_is_a_band_of_document_frequencies(spark):
     texts = [f"all rare{i} half{i % 2} Half{i % 2}" for i in range(100)]
     docs = spark.createDataFrame([(t,) for t in texts], "text string")
