@@ -119,7 +119,7 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = fresh_path(spark, "token-ids")
+    path = fresh_path(spark, "stage-token-ids")
     write_ids(table(spark, sf_dir, "documents").select("doc_id", "text"), path, vocabulary("byte_bpe_50k.json"), end_id=0)
     return read_ids(spark, path)
 
