@@ -57,7 +57,7 @@ def _feed(spark: SparkSession, sf_dir: str) -> str:
 
 def _csv(df: DataFrame) -> str:
     """``df`` as headed CSV files in the shared folder."""
-    path = f"{fresh_path(df.sparkSession, 'csv')}/feed"
+    path = f"{fresh_path(df.sparkSession, 'stage-csv')}/feed"
     writer = df.write.option("header", True)
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return path

@@ -128,3 +128,12 @@ def test_a_feed_with_a_column_named_like_lineage(spark, database, tmp_path):
     root = medallion.Layout(bronze=database, root=shared_dir(spark))
     medallion.ingest(spark, uri, root, schema="observe")
     assert spark.table(root.raw_table).first()._source_file.endswith("d.csv")
+
+
+def test_the_stored_text_goes_after_the_block(spark, tmp_path):
+    uri = feed(tmp_path, "e", "id\n1\n")
+    with profiled(read_csv(spark, uri, "string"), "file") as (stored, _):
+        path = stored.inputFiles()[0].rsplit("/", 1)[0]
+        assert path.rsplit("/", 1)[1].startswith("stage-")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
