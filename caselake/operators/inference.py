@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DecimalType
 
 # What one value can be at the narrowest. A column's set of these is a bit mask, so partial results merge by OR, in any
 # order and any number of times: a task that runs again changes no type.
@@ -19,7 +19,7 @@ _INTEGER = r"^[+-]?[0-9]+\z"
 _NUMBER = r"^([+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|[+-]Inf(inity)?)\z"
 _DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 _TIMESTAMP = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?(Z|[+-][0-9]{2}:[0-9]{2})?\z"
-# Digits before the point that hold every value of a type.
+# Digits that hold every value of a type.
 _DIGITS = {"int": 10, "bigint": 19}
 
 
@@ -42,16 +42,19 @@ class ColumnProfile:
             return True
         if self.type == "date":
             return stored == "timestamp"
-        kind = DataType.fromDDL(self.type)
-        digits = kind.precision if isinstance(kind, DecimalType) else _DIGITS.get(self.type)
+        digits, room = _whole_digits(self.type), _whole_digits(stored)
         if digits is None:
             return False
-        into = DataType.fromDDL(stored)
-        room = into.precision - into.scale if isinstance(into, DecimalType) else _DIGITS.get(stored, 0)
-        whole_enough = room >= digits and (stored not in _DIGITS or self.type in _DIGITS)
+        whole_enough = room is not None and room >= digits and (stored not in _DIGITS or self.type in _DIGITS)
         return stored == "double" or whole_enough
 
 
+def _whole_digits(kind: str) -> int | None:
+    """Digits before the point that a type of exact numbers has; None for other types."""
+    decimal = re.fullmatch(r"decimal\((\d+),(\d+)\)", kind)
+    return int(decimal[1]) - int(decimal[2]) if decimal else _DIGITS.get(kind)
+
+
 def _digits(text: Column) -> Column:
     return F.char_length(F.ltrim(text, F.lit("+-0")))
 

@@ -116,6 +116,9 @@ def test_an_appended_batch_takes_the_tables_types_or_is_refused(spark, database,
     medallion.ingest(spark, second, root, schema="observe", mode="append", batch_id="2")
     with pytest.raises(ValueError, match="id: string into bigint"):
         medallion.ingest(spark, third, root, schema="observe", mode="append", batch_id="3")
+    fourth = feed(tmp_path, "f", "id,amount,day,more\n7,2,2024-01-31,\n")
+    with pytest.raises(ValueError, match="more: string into no column"):
+        medallion.ingest(spark, fourth, root, schema="observe", mode="append", batch_id="4")
     rows = spark.table(root.raw_table).orderBy("id").collect()
     assert [(r.id, r.amount, str(r.day), r._batch_id) for r in rows] == [
         (7, 2.0, "None", "2"),
