@@ -89,7 +89,8 @@ def fit(docs: DataFrame) -> LanguageModel:
     Learns from whole texts of at most ``PER_LANGUAGE`` rows of each non-null
     language, those of about the least id hashes that :func:`learnable` allows. Tasks
     turn texts into subword counts; only those reach the driver. Without such
-    rows the model knows no language.
+    rows the model knows no language. Of more than ``MOST_LANGUAGES`` languages
+    the most frequent are learned; documents of the others still get a prediction.
     """
     usable = docs.filter(learnable(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     told = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang")
@@ -167,7 +168,8 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     Text that is null or has no letter is ``und`` with score 0 and rejected; so
     are texts whose calibrated probability is below the model's threshold,
     though these keep the most probable language. Columns of these three names
-    are replaced, others passed on. Rows are independent.
+    are replaced, others passed on. Rows are independent. Texts are read whole,
+    one after the other, however long.
     """
     known = docs.sparkSession.sparkContext.broadcast(model)
     added = [StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("rejected", BooleanType())]

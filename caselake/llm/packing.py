@@ -185,7 +185,8 @@ def pack(
     offset`` and with ``keep_ids`` the little-endian unsigned 32-bit ``ids``
     of each piece. Null text is empty and has the end id only. Repeated rows
     are packed each, ids may be null, and an empty table gives no pieces.
-    Other columns are not passed on.
+    Other columns are not passed on. A text is encoded whole, however long, so
+    a worker's memory has to hold its ids.
     """
     whole = F.floor(F.col("n") / window)
     rest = F.col("n") % window

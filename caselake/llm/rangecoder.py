@@ -384,7 +384,8 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
     their ids. Parquet carries the rows, so any store that Spark writes will do.
 
     Null text is empty: the end id only. Rows without an id come first,
-    repeated ids stay beside each other. An empty table gives no chunk.
+    repeated ids stay beside each other. An empty table gives no chunk. A
+    document is in one chunk, however long, so a worker's memory has to hold its ids.
     """
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
