@@ -13,6 +13,8 @@ from caselake.session import size_in_bytes, stage
 # Repeated keys up to this number and file size are broadcast with their survivor's place.
 LISTED_KEYS = 200_000
 LISTED_BYTES = 32 * 1024**2
+# Bitmaps of kept places, one bit a row, are broadcast up to this file size; beyond that rows are shuffled to them.
+PLACES_BYTES = 64 * 1024**2
 
 
 def with_flags(df: DataFrame, rules: Mapping[str, Column], passed: str = "dq_passed") -> DataFrame:
@@ -98,23 +100,25 @@ def dedupe_stored(
     are few and small, the place (file and row) of each one's survivor is
     broadcast and a scan drops the other copies; the survivor is chosen by the
     order of :func:`dedupe`, the place only tells equal rows apart. Otherwise
-    the rows go through :func:`dedupe`. ``df`` must come straight from a table
-    scan.
+    the rows go through :func:`dedupe_by_place`. ``df`` must come straight from
+    a table scan. Keys are compared by 128 bits of hashes that tell NULL from
+    a value.
     """
-    copies = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__copies"))
-    repeated = stage(copies.filter("__copies > 1").select(*keys))
+    short = dict(zip(("__key_one", "__key_two"), content_order(keys)))
+    copies = df.select(*[c.alias(k) for k, c in short.items()]).groupBy(*short).agg(F.count(F.lit(1)).alias("__copies"))
+    repeated = stage(copies.filter("__copies > 1").select(*short))
     if repeated.limit(listed + 1).count() > listed or size_in_bytes(repeated) > LISTED_BYTES:
-        return dedupe(df, keys, order_by)
+        return dedupe_by_place(df, short, order_by)
     file, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
     one, two = content_order(df.columns)
-    placed = df.withColumns({"__one": one, "__two": two, "__file": file, "__row": row}).alias("d")
-    same = reduce(lambda a, b: a & b, [F.col(f"d.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys])
+    placed = df.withColumns({**short, "__one": one, "__two": two, "__file": file, "__row": row}).alias("d")
+    same = reduce(lambda a, b: a & b, [F.col(f"d.{k}") == F.col(f"r.{k}") for k in short])
     place = F.struct(*order_by, "__one", "__two", "__file", "__row")
     survivors = (
         placed.join(F.broadcast(repeated.alias("r")), same, "left_semi")
-        .groupBy(*keys)
+        .groupBy(*short)
         .agg(F.min(place).alias("__first"))
-        .select(*keys, F.col("__first.__file").alias("__keep_file"), F.col("__first.__row").alias("__keep_row"))
+        .select(*short, F.col("__first.__file").alias("__keep_file"), F.col("__first.__row").alias("__keep_row"))
     )
     marked = placed.join(F.broadcast(survivors.alias("r")), same, "left")
     kept = F.col("__keep_row").isNull() | (
@@ -123,6 +127,49 @@ def dedupe_stored(
     return marked.filter(kept).select(*[F.col(f"d.`{c}`") for c in df.columns])
 
 
+def dedupe_by_place(
+    df: DataFrame,
+    keys: Mapping[str, Column],
+    order_by: Sequence[str] = (),
+    only: DataFrame | None = None,
+    without: DataFrame | None = None,
+) -> DataFrame:
+    """:func:`dedupe` of parquet table rows for any number of repeated keys; it keeps the same rows.
+
+    What is shuffled are keys, order columns, two content hashes and the place
+    of each row; copies meet as partial minima first. The survivors' places
+    become bitmaps, one bit a row, by which a second scan picks the rows. So
+    the rows themselves are neither shuffled nor sorted, unless the bitmaps
+    exceed ``PLACES_BYTES`` (some 500 million rows).
+
+    ``only`` and ``without`` are frames of the columns ``keys``: keys that are
+    looked for, and keys that are left out. A file is told by a 64-bit hash of
+    its path. ``df`` must come straight from a table scan.
+    """
+    one, two = content_order(df.columns)
+    file, row = F.xxhash64("_metadata.file_path"), F.col("_metadata.row_index")
+    place = F.struct(*order_by, one.alias("__one"), two.alias("__two"), file.alias("__file"), row.alias("__row"))
+    rows = df.select(*[column.alias(name) for name, column in keys.items()], place.alias("__place"))
+    if only is not None:
+        rows = rows.join(only, list(keys), "left_semi")
+    first = rows.groupBy(*keys).agg(F.min("__place").alias("__first"))
+    if without is not None:
+        first = first.join(without, list(keys), "left_anti")
+    number = F.col("__first.__row") + 1
+    places = first.select(
+        F.col("__first.__file").alias("__file"),
+        F.bitmap_bucket_number(number).alias("__bucket"),
+        F.bitmap_bit_position(number).alias("__bit"),
+    )
+    kept = stage(places.groupBy("__file", "__bucket").agg(F.bitmap_construct_agg("__bit").alias("__bits")))
+    kept = F.broadcast(kept) if size_in_bytes(kept) <= PLACES_BYTES else kept
+    here = {"__file": file, "__bucket": F.bitmap_bucket_number(row + 1), "__bit": F.bitmap_bit_position(row + 1).cast("int")}
+    marked = df.withColumns(here).join(kept, ["__file", "__bucket"])
+    byte = F.conv(F.hex(F.expr("substring(__bits, __bit div 8 + 1, 1)")), 16, 10).cast("int")
+    bit = F.expr("shiftleft(1, __bit % 8)")
+    return marked.filter(byte.bitwiseAND(bit) > 0).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def dedupe_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows before and after deduplication and the difference; shuffles only the keys."""
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))

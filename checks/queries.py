@@ -17,7 +17,7 @@ from caselake.operators.columns import cast_columns, clean_column_names, null_de
 from caselake.operators.inference import column_profile
 from caselake.plans import gold, medallion, silver
 from caselake.plans.admissions import admissions
-from caselake.session import fresh_path, scratch_database, stage
+from caselake.session import fresh_path, scratch_database, shuffle_sized, stage
 from caselake.sinks import tables
 from caselake.sources.files import read_csv
 from caselake.sources.tables import read_table
@@ -27,6 +27,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
 
+# Rows in memory take several times the bytes of their files.
+UNPACKED = 4
+
+
 def query(fn: Query) -> Query:
     _QUERIES[fn.__name__] = fn
     return fn
@@ -310,15 +314,19 @@ def dedupe_same_survivors(spark, sf_dir):
     name = f"{scratch_database(spark)}.bronze"
     tables.save_table(rows.unionByName(other), name)
     keys = (["_record_hash"], ["_ingested_at", "_batch_id"])
-    plain = quality.dedupe(other.unionByName(rows).repartition(7, "note"), *keys)
-    by_place = quality.dedupe_stored(spark.table(name), *keys)
-    both = plain.withColumn("how", F.lit(1)).unionByName(by_place.withColumn("how", F.lit(2)))
-    per_row = both.groupBy(*plain.columns).agg(F.sum("how").alias("hows"))
-    return per_row.agg(
-        F.count(F.lit(1)).alias("survivors"),
-        F.count_if(F.col("hows") == 1).alias("only_plain"),
-        F.count_if(F.col("hows") == 2).alias("only_stored"),
-    )
+    # The one row is computed here, while the shuffles of whole rows have the sizes for it.
+    with shuffle_sized(spark, UNPACKED * tables.table_bytes(spark, name)):
+        # Another order than the table's; the two notes would deal all rows to two tasks.
+        plain = quality.dedupe(other.unionByName(rows).repartition("_record_hash"), *keys)
+        by_place = quality.dedupe_stored(spark.table(name), *keys)
+        both = plain.withColumn("how", F.lit(1)).unionByName(by_place.withColumn("how", F.lit(2)))
+        per_row = both.groupBy(*quality.content_order(plain.columns)).agg(F.sum("how").alias("hows"))
+        found = per_row.agg(
+            F.count(F.lit(1)).alias("survivors"),
+            F.count_if(F.col("hows") == 1).alias("only_plain"),
+            F.count_if(F.col("hows") == 2).alias("only_stored"),
+        )
+        return stage(found)
 
 
 @query

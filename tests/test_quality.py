@@ -119,6 +119,32 @@ def test_dedupe_stored_keeps_one_of_equal_copies_and_shuffles_no_rows(spark, dat
     assert plan.count("Exchange hashpartitioning") == 1 and "partial_min" in plan
 
 
+def test_dedupe_stored_shuffles_no_rows_when_most_keys_repeat(spark, database):
+    df = spark.range(0, 6000, 1, 6).selectExpr("if(id % 3 = 0, null, id % 1500) AS h", "repeat('x', 50) AS v", "id % 2 AS b")
+    rows = stored(spark, database, df)
+    found = quality.dedupe_stored(rows, ["h"], ["b"], listed=3)
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, quality.dedupe(df, ["h"], ["b"]).collect()))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan and "Window" not in plan
+
+
+@pytest.mark.parametrize("bytes_", [quality.PLACES_BYTES, 0])
+def test_dedupe_by_place_with_wanted_and_unwanted_keys(spark, database, monkeypatch, bytes_):
+    # More rows than one bitmap covers, and a group of copies that holds a third of them.
+    monkeypatch.setattr(quality, "PLACES_BYTES", bytes_)
+    df = spark.range(0, 90_000, 1, 2).selectExpr("if(id % 3 = 0, 0L, id) AS h", "id AS v", "id % 5 AS b")
+    rows, keys = stored(spark, database, df), {"k": F.col("h")}
+    expected = quality.dedupe(df, ["h"], ["b"])
+    found = quality.dedupe_by_place(rows, keys, ["b"])
+    assert found.columns == ["h", "v", "b"] and found.count() == 60_001
+    assert found.exceptAll(expected).isEmpty()
+    small = spark.range(0, 100).select(F.col("id").alias("k"))
+    only = quality.dedupe_by_place(rows, keys, ["b"], only=small)
+    assert only.count() == 67 and only.exceptAll(expected.filter("h < 100")).isEmpty()
+    others = quality.dedupe_by_place(rows, keys, ["b"], without=small)
+    assert others.count() == 60_001 - 67 and others.filter("h < 100").isEmpty()
+
+
 def test_dedupe_stored_without_repeats(spark, database):
     rows = stored(spark, database, spark.range(100).selectExpr("string(id) AS h"))
     assert quality.dedupe_stored(rows.filter("h < '5'"), ["h"]).count() == rows.filter("h < '5'").count()
