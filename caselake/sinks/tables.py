@@ -503,7 +503,8 @@ def cluster_table(
     several go through :func:`z_value`, with more ranges the more files there are. The row's file
     position ends the range key: it lets rows with equal clustering values,
     however many, spread over several tasks, and it is the same when a lost
-    task runs again. At most ``MOST_RANGES`` tasks share the rows, each of
+    task runs again. ``files`` is how many files the rows are dealt to at
+    least; there are more where these would exceed ``file_bytes``. At most ``MOST_RANGES`` tasks share the rows, each of
     which writes several files in order if there are more. The table is read
     three times at most: for the bounds, by the range partitioner's sample, and
     for the write.
@@ -516,7 +517,7 @@ def cluster_table(
     with lease(spark, name) as held:
         finish_rewrites(spark, name)
         size = table_bytes(spark, name)
-        wanted = max(1, -(-size // file_bytes)) if files is None else files
+        wanted = max(1, -(-size // file_bytes), files or 1)
         bits = z_bits(wanted, len(columns))
         note = read_note(spark, f"{table_location(spark, name)}/{CLUSTERING}")
         known = note is not None and note["columns"] == list(columns) and note["bits"] == bits

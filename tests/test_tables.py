@@ -308,6 +308,17 @@ def test_clustering_spreads_a_hot_value_over_files(spark, database):
     assert largest < 2 * 60_000 / 12
 
 
+def test_clustering_deals_large_tables_to_more_files_than_asked_for(spark, database):
+    name = f"{database}.t"
+    df = spark.range(0, 20_000, 1, 4).selectExpr("id % 40 AS a", "id % 7 AS b", "uuid() AS u")
+    tables.save_table(df, name)
+    before = content(spark.table(name))
+    tables.cluster_table(spark, name, ["a", "b"], files=2, file_bytes=tables.table_bytes(spark, name) // 8)
+    sizes = tables.file_sizes(spark, name)
+    assert 8 <= sizes.count() <= 10 and sizes.agg(F.max("rows")).first()[0] < 2 * 20_000 / 8
+    assert content(spark.table(name)) == before
+
+
 def test_clustering_with_nulls_other_types_and_partitions(spark, database):
     name = f"{database}.t"
     df = spark.range(0, 2000, 1, 4).selectExpr(
