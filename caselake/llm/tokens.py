@@ -20,11 +20,29 @@ _MARKS = ",.;:!?"
 # A space or line break after anything else begins a new chunk; no vocabulary's pattern reaches over that place.
 _CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 _LONGEST_KEPT = 64
+# A plain word, with the space before it, and marks that no vocabulary takes together with a letter before them.
+_PLAIN = re.compile(r"( ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-&(-/:-@\[-`{-~]*)")
+# Plain words that go to the tokenizer as one text.
+_TOGETHER = 32
+
+
+class _Numbers(dict):
+    """Chunks and their numbers; a chunk that is asked for the first time gets the next one and is listed as new."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        number = self[chunk] = len(self)
+        self.new.append(chunk)
+        return number
 
 
 class ChunkEncoder:
     """Encodes texts chunk by chunk and remembers the ids of each distinct chunk, up to a bound.
 
+    Between two calls of ``encode`` at most ``most_kept`` chunks are kept.
+
     Subclasses cut a text into chunks whose ids, in a row, are the text's, or
     say that a text has to be encoded whole.
     """
@@ -35,7 +53,7 @@ class ChunkEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self._known: dict[str, int] = {}
+        self._known = _Numbers()
         self._flat, self._ends = np.empty(1 << 20, np.uint32), np.zeros(1 << 16, np.int64)
 
     def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -48,10 +66,10 @@ class ChunkEncoder:
     def _chunks(self, text: str) -> list[str] | None:
         raise NotImplementedError
 
-    def _learn(self, chunks: set[str]) -> None:
-        new = list(chunks)
+    def _learn(self) -> None:
+        new = self._known.new
+        base = len(self._known) - len(new)
         ids, sizes = self._chunk_ids(new)
-        base = len(self._known)
         start, end = self._ends[base], self._ends[base] + len(ids)
         while len(self._ends) <= base + len(new):
             self._ends = np.concatenate([self._ends, np.zeros_like(self._ends)])
@@ -59,23 +77,29 @@ class ChunkEncoder:
             self._flat = np.concatenate([self._flat, np.empty_like(self._flat)])
         self._ends[base + 1 : base + 1 + len(new)] = start + np.cumsum(sizes)
         self._flat[start:end] = ids
-        self._known.update(zip(new, range(base, base + len(new))))
+        self._known.new = []
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        cut = [self._chunks(text) for text in texts]
-        missing = set(chain.from_iterable(c for c in cut if c)).difference(self._known)
-        if len(self._known) + len(missing) > self.most_kept:
+        try:
+            return self._encoded(texts)
+        except BaseException:
+            # Some chunks may have a number, but no ids.
             self._forget()
-            missing = set(chain.from_iterable(c for c in cut if c))
-        if missing:
-            self._learn(missing)
+            raise
+
+    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
+        cut = [self._chunks(text) for text in texts]
         whole = iter(self._split(*self._ids([t for t, c in zip(texts, cut) if c is None])))
         counts = [len(c) for c in cut if c is not None]
         at = np.fromiter(map(self._known.__getitem__, chain.from_iterable(c for c in cut if c)), np.int64, sum(counts))
+        if self._known.new:
+            self._learn()
         starts, sizes = self._ends[at], self._ends[at + 1] - self._ends[at]
         ends = np.cumsum(sizes)
-        flat = self._flat[np.arange(sizes.sum()) + np.repeat(starts - ends + sizes, sizes)]
+        flat = self._flat.take(np.arange(sizes.sum()) + np.repeat(starts - ends + sizes, sizes))
+        if len(self._known) > self.most_kept:
+            self._forget()
         lasts = np.concatenate([[0], ends])[np.cumsum(counts, dtype=np.int64)]
         known = iter(self._split(flat, np.diff(lasts, prepend=0)))
         return [next(whole) if c is None else next(known) for c in cut]
@@ -98,6 +122,17 @@ def in_groups(texts: Iterable[str], most: int = 2_000_000) -> Iterator[list[str]
         yield group
 
 
+def _in_latin(text: str) -> bool:
+    """Whether the text is in Latin-1, whose letters have one form only."""
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class Encoder(ChunkEncoder):
     """``encode`` of a ``tokenizers`` file without special tokens.
 
@@ -119,6 +154,12 @@ class Encoder(ChunkEncoder):
         self._bare = not len(self._ids(["\n \n"])[0])
         ids, _ = self._ids(["QuICK", "quick"])
         self._lower = bool(len(ids) % 2 == 0 and (ids[: len(ids) // 2] == ids[len(ids) // 2 :]).all())
+        # Ids that are the last of a word, or the first of one after a space: by them words are told apart.
+        suffix = getattr(self._tokenizer.model, "end_of_word_suffix", None) if self._bare else None
+        names = self._tokenizer.get_vocab()
+        border = [i for name, i in names.items() if (name.endswith(suffix) if suffix else name.startswith("\u0120"))]
+        self._border = np.zeros(max(names.values()) + 1, bool)
+        self._border[border] = bool(suffix) or not self._bare
 
     def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -127,26 +168,55 @@ class Encoder(ChunkEncoder):
 
     def _chunk_ids(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Chunks that differ in the marks after a word only are encoded once, the marks by themselves."""
-        cores, tails = [], []
-        for chunk in chunks:
-            core = chunk.rstrip(_MARKS)
-            cut = len(core) if core and core[-1].isascii() and core[-1].isalnum() else len(chunk)
-            cores.append(chunk[:cut])
-            tails.append(chunk[cut:])
-        number = {text: i for i, text in enumerate(dict.fromkeys(chain(cores, tails)))}
-        ids, sizes = self._ids(list(number))
+        number: dict[str, int] = {}
+        words: list[str] = []
+        others: list[str] = []
+        parts = np.empty(2 * len(chunks), np.int64)
+        for i, chunk in enumerate(chunks):
+            plain = _PLAIN.fullmatch(chunk)
+            if plain:
+                core, tail = plain.groups()
+            else:
+                core = chunk.rstrip(_MARKS)
+                cut = len(core) if core and core[-1].isascii() and core[-1].isalnum() else len(chunk)
+                core, tail = chunk[:cut], chunk[cut:]
+            for side, text in ((0, core), (1, tail)):
+                at = number.get(text)
+                if at is None:
+                    # Words count upwards, all other parts downwards.
+                    if plain and not side and (self._bare or text[0] == " "):
+                        at = len(words)
+                        words.append(text)
+                    else:
+                        others.append(text)
+                        at = -len(others)
+                    number[text] = at
+                parts[2 * i + side] = at
+        (ids, sizes), (more, last) = self._word_ids(words), self._ids(others[::-1])
+        ids, sizes = np.concatenate([ids, more]), np.concatenate([sizes, last])
+        parts[parts < 0] += len(sizes)
         ends = np.cumsum(sizes)
-        parts = np.fromiter((number[x] for pair in zip(cores, tails) for x in pair), np.int64, 2 * len(chunks))
         each = sizes[parts]
         at = np.arange(each.sum()) + np.repeat(ends[parts] - np.cumsum(each), each)
         return ids[at], each.reshape(-1, 2).sum(axis=1)
 
+    def _word_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`_ids` of plain words; many go to the tokenizer as one text, which its pattern cuts between them."""
+        glue = " " if self._bare else ""
+        ids, sizes = self._ids([glue.join(words[i : i + _TOGETHER]) for i in range(0, len(words), _TOGETHER)])
+        places = np.flatnonzero(self._border[ids])
+        found = np.diff(places + 1, prepend=0) if self._bare else np.diff(places, append=len(ids))
+        # Whatever tells no borders, or other ones, gets each word by itself.
+        if len(found) != len(words) or found.sum() != len(ids):
+            return self._ids(words)
+        return ids, found
+
     def _chunks(self, text: str) -> list[str] | None:
         if any(c in text for c in _UNUSUAL):
             return None
         if self._bare:
-            # The vocabulary is one of lower case, and in ASCII there is only one way to get there.
-            chunks = (text.lower() if self._lower and text.isascii() else text).split()
+            # The vocabulary is one of lower case, and in Latin-1 there is only one way to get there.
+            chunks = (text.lower() if self._lower and _in_latin(text) else text).split()
         else:
             chunks = _CHUNK.findall(text)
         return chunks if max(map(len, chunks), default=0) <= _LONGEST_KEPT else None
