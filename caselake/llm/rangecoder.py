@@ -37,6 +37,7 @@ GROUP = 16
 # Contexts of order 2 in a lane; how sure a guess can be; probabilities have 16 bits, of which 12 are coded.
 _CONTEXTS, _SUREST, _SHIFT, _RATE = 4096, 3, 5, 14
 _SCALE, _LENGTHS, _GAIN = 4096, 33, 4
+_LENGTHS_HELD = -(-_LENGTHS // 8) * 8
 
 
 def _squash(x: float) -> int:
@@ -45,10 +46,11 @@ def _squash(x: float) -> int:
 
 _SQUASH = np.array([_squash(x) for x in range(-2047, 2048)], np.int64)
 _STRETCH = np.searchsorted(_SQUASH, np.arange(_SCALE)).clip(0, 4094) - 2047
-
-
-def _coded(p: np.ndarray) -> np.ndarray:
-    return (p >> 4).clip(1, _SCALE - 1)
+# For each probability of 16 bits: the one that is coded, and its place on the scale that is mixed.
+_CODED = (np.arange(1 << 16) >> 4).clip(1, _SCALE - 1)
+_STRETCHED = _STRETCH[_CODED]
+# What a new id of a length adds to the running counts of lengths.
+_LONGER = np.triu(np.full((_LENGTHS, _LENGTHS_HELD), _GAIN, np.uint16))
 
 
 class _Model:
@@ -68,7 +70,11 @@ class _Model:
         self.lane_slots, self.lane_pairs = lane * (slots + 1), lane * _CONTEXTS
         # Rows of the running counts: one of a lane's, one for each group of groups, one for each group.
         self.row_of = [lane, lane * over, lane * over * GROUP]
-        self.sums = [np.zeros((lanes * n, width), np.uint16) for n, width in ((1, over), (over, GROUP), (over * GROUP, GROUP))]
+        widths = -(-over // 8) * 8, GROUP, GROUP
+        self.sums = [np.zeros((lanes * n, width), np.uint16) for n, width in zip((1, over, over * GROUP), widths)]
+        # The same counts four at a time, and what a slot at a place adds to them.
+        self.words = [x.view(np.uint64) for x in self.sums]
+        self.added = [np.triu(np.ones((w, w), np.uint16), 1).view(np.uint64) for w in widths]
         self.count = np.zeros(lanes * (slots + 1), np.uint16)
         self.id_of = np.zeros(lanes * (slots + 1), np.uint32)
         self.known = np.zeros(lanes, np.int64)
@@ -78,38 +84,39 @@ class _Model:
         self.sure = [np.zeros(size, np.uint8) for size in sizes]
         self.last = [np.full(lanes, slots, np.int64) for _ in range(2)]
         # Chances: order 2 by its sureness, order 1 by agreement and sureness, order 1 alone, a new id.
-        self.by_two = np.full((lanes, _SUREST + 1), 1 << 15, np.int64)
-        self.by_one = np.full((lanes, 2 * (_SUREST + 1)), 1 << 15, np.int64)
-        self.alone = np.full((lanes, _SUREST + 1), 1 << 15, np.int64)
-        self.new = np.full((lanes, 2), 1 << 15, np.int64)
-        self.weights = np.full((2, lanes, 2), 40_000, np.int64)
-        self.lengths = np.ones((lanes, _LENGTHS), np.int64)
-        self._places = [np.arange(x.shape[1], dtype=np.uint16) for x in self.sums]
+        sizes = lanes * (_SUREST + 1), lanes * 2 * (_SUREST + 1), lanes * (_SUREST + 1), lanes * 2
+        self.by_two, self.by_one, self.alone, self.new = (np.full(size, 1 << 15, np.int64) for size in sizes)
+        self.weights = [np.full(lanes * 2, 40_000, np.int64) for _ in range(2)]
+        # Running counts of the lengths of new ids, each with its own included; padded to whole words.
+        self.lengths = np.tile(np.arange(1, _LENGTHS_HELD + 1, dtype=np.uint16).clip(max=_LENGTHS), (lanes, 1))
 
     def expect(self, n: int) -> None:
         one, two = self.last[0][:n], self.last[1][:n]
         pair = (one * 0x9E3779B1 + two * 0x85EBCA6B >> 7) & (_CONTEXTS - 1)
         self.at = [self.lane_slots[:n] + one, self.lane_pairs[:n] + pair]
-        self.guessed = [g[at].astype(np.int64) for g, at in zip(self.guess, self.at)]
-        self.sureness = [s[at].astype(np.int64) for s, at in zip(self.sure, self.at)]
+        self.guessed = [g.take(at).astype(np.int64) for g, at in zip(self.guess, self.at)]
+        self.sureness = [s.take(at).astype(np.int64) for s, at in zip(self.sure, self.at)]
 
     def mixed(self, lanes: np.ndarray) -> np.ndarray:
         """The chance that the guess of order 2 holds."""
-        one = self.sureness[0][lanes]
-        self.agree = ((one > 0) & (self.guessed[0][lanes] == self.guessed[1][lanes])).astype(np.int64)
-        self.cells = self.sureness[1][lanes], self.agree * (_SUREST + 1) + one
-        chances = self.by_two[lanes, self.cells[0]], self.by_one[lanes, self.cells[1]]
-        self.inputs = [_STRETCH[_coded(p)] for p in chances]
-        dot = sum(self.weights[k, lanes, self.agree] * x for k, x in enumerate(self.inputs)) >> 16
-        self.chance = _SQUASH[dot.clip(-2047, 2047) + 2047]
+        one = self.sureness[0].take(lanes)
+        agree = (one > 0) & (self.guessed[0].take(lanes) == self.guessed[1].take(lanes))
+        self.cells = (
+            lanes * (_SUREST + 1) + self.sureness[1].take(lanes),
+            (lanes * 2 + agree) * (_SUREST + 1) + one,
+        )
+        self.weighed = lanes * 2 + agree
+        self.inputs = [_STRETCHED.take(chances.take(cell)) for chances, cell in zip((self.by_two, self.by_one), self.cells)]
+        dot = sum(weights.take(self.weighed) * x for weights, x in zip(self.weights, self.inputs)) >> 16
+        self.chance = _SQUASH.take(dot + 2047, mode="clip")
         return self.chance
 
-    def learn_mix(self, lanes: np.ndarray, held: np.ndarray) -> None:
-        error = (held.astype(np.int64) << 12) - self.chance
-        for k, x in enumerate(self.inputs):
-            self.weights[k, lanes, self.agree] += (x * error * _RATE) >> 14
-        _moved(self.by_two, lanes, self.cells[0], held)
-        _moved(self.by_one, lanes, self.cells[1], held)
+    def learn_mix(self, held: np.ndarray) -> None:
+        error = ((held.astype(np.int64) << 12) - self.chance) * _RATE
+        for weights, x in zip(self.weights, self.inputs):
+            weights[self.weighed] += (x * error) >> 14
+        _moved(self.by_two, self.cells[0], held)
+        _moved(self.by_one, self.cells[1], held)
 
     def _levels(self, lanes: np.ndarray, slot: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """Row and place of ``slot`` in the running counts of each level."""
@@ -127,17 +134,20 @@ class _Model:
         place, slot = place.astype(np.uint16), np.zeros(len(lanes), np.int64)
         for rows, sums in zip(self.row_of, self.sums):
             row = rows[lanes] + slot
-            here = sums[row]
-            at = np.count_nonzero(here <= place[:, None], axis=1) - 1
-            place = place - here[np.arange(len(at)), at]
+            passed = np.bitwise_count((sums.take(row, axis=0) <= place[:, None]).view(np.uint64))
+            at = sum(passed.T.astype(np.int64)) - 1
+            place = place - sums.take(row * sums.shape[1] + at)
             slot = slot * sums.shape[1] + at if sums is not self.sums[0] else at
         # Slots that are not taken yet have empty intervals after the last one.
         return np.minimum(slot, self.known[lanes] - 1)
 
     def learn(self, slot: np.ndarray) -> None:
         n = len(slot)
-        for sums, places, (row, place) in zip(self.sums, self._places, self._levels(slice(0, n), slot)):
-            sums[row] += places > place.astype(np.uint16)[:, None]
+        # Counts stay below 2**16, so none runs over into its neighbour.
+        (_, place), *inner = self._levels(slice(0, n), slot)
+        self.words[0][:n] += self.added[0].take(place, axis=0)
+        for words, added, (row, place) in zip(self.words[1:], self.added[1:], inner):
+            words[row] = words.take(row, axis=0) + added.take(place, axis=0)
         self.count[self.lane_slots[:n] + slot] += np.uint16(1)
         self.total[:n] += 1
         for guess, sure, at, guessed, sureness in zip(self.guess, self.sure, self.at, self.guessed, self.sureness):
@@ -148,9 +158,9 @@ class _Model:
         self.last[0][:n] = slot
 
 
-def _moved(chances: np.ndarray, lanes: np.ndarray, cell: np.ndarray, held: np.ndarray) -> None:
-    p = chances[lanes, cell]
-    chances[lanes, cell] = p + (((held.astype(np.int64) << 16) - held - p) >> _SHIFT)
+def _moved(chances: np.ndarray, cell: np.ndarray, held: np.ndarray) -> None:
+    p = chances.take(cell)
+    chances[cell] = p + (((held.astype(np.int64) << 16) - held - p) >> _SHIFT)
 
 
 class _Coder:
@@ -161,8 +171,8 @@ class _Coder:
 
     def narrow(self, lanes: np.ndarray, start: np.ndarray, size: np.ndarray, total) -> None:
         """Go on in the part ``start`` to ``start + size`` of ``total``."""
-        part = self.range[lanes] // total
-        low = self.low[lanes] + start * part
+        part = self.range.take(lanes) // total
+        low = self.low.take(lanes) + start * part
         span = size * part
         self.low[lanes], self.range[lanes] = low, span
         # Only the lanes that have a byte to give go on.
@@ -185,8 +195,8 @@ class _Writer(_Coder):
         self.out = np.zeros((lanes, most), np.uint8)
 
     def _shift(self, lanes: np.ndarray, low: np.ndarray) -> None:
-        at = self.at[lanes]
-        self.out[lanes, at] = low >> np.uint32(24)
+        at = self.at.take(lanes)
+        self.out.ravel()[lanes * self.out.shape[1] + at] = low >> np.uint32(24)
         self.at[lanes] = at + 1
 
     def finish(self) -> list[bytes]:
@@ -208,12 +218,12 @@ class _Reader(_Coder):
             self._shift(np.arange(len(coded)))
 
     def _shift(self, lanes: np.ndarray, low: np.ndarray | None = None) -> None:
-        at = np.minimum(self.base[lanes] + self.at[lanes], len(self.data) - 1)
-        self.code[lanes] = (self.code[lanes] << np.uint32(8)) | self.data[at]
-        self.at[lanes] += 1
+        at = self.at.take(lanes)
+        self.code[lanes] = (self.code.take(lanes) << np.uint32(8)) | self.data.take(self.base.take(lanes) + at, mode="clip")
+        self.at[lanes] = at + 1
 
     def peek(self, lanes, total) -> np.ndarray:
-        found = (self.code[lanes] - self.low[lanes]) // (self.range[lanes] // total)
+        found = (self.code.take(lanes) - self.low.take(lanes)) // (self.range.take(lanes) // total)
         return np.minimum(found, total - np.uint32(1))
 
 
@@ -230,17 +240,17 @@ def _chosen(coder: _Coder, lanes: np.ndarray, chance: np.ndarray, truth: np.ndar
 
 def _new_ids(coder: _Coder, model: _Model, lanes: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
     """Code, or read, ids that are new in their lane: their length in bits by its counts, then the bits."""
-    counts = model.lengths[lanes]
-    ends = np.cumsum(counts, axis=1)
+    ends = model.lengths.take(lanes, axis=0)
     total = ends[:, -1].astype(np.uint32)
     if ids is None:
-        length = (ends <= coder.peek(lanes, total)[:, None]).sum(axis=1)
+        passed = ends <= coder.peek(lanes, total).astype(np.uint16)[:, None]
+        length = sum(np.bitwise_count(passed.view(np.uint64)).T.astype(np.int64))
     else:
         length = np.frexp(ids.astype(np.float64))[1].astype(np.int64)
-    each = np.arange(len(lanes))
-    size = counts[each, length]
-    coder.narrow(lanes, (ends[each, length] - size).astype(np.uint32), size.astype(np.uint32), total)
-    model.lengths[lanes, length] += _GAIN
+    at = np.arange(len(lanes)) * _LENGTHS_HELD + length
+    start = np.where(length > 0, ends.take(at - 1, mode="clip"), np.uint16(0)).astype(np.uint32)
+    coder.narrow(lanes, start, ends.take(at) - start, total)
+    model.lengths[lanes] = ends + _LONGER.take(length, axis=0)
     # The highest bit is known; at most 16 of the others are coded at a time.
     value = (length > 0).astype(np.int64)
     left = np.maximum(length - 1, 0)
@@ -270,27 +280,27 @@ def _run(coder: _Coder, lanes: int, steps: int, last: int, slots: np.ndarray | N
 
         asked = np.flatnonzero(model.sureness[1])
         held = _chosen(coder, asked, model.mixed(asked), slot[asked] == model.guessed[1][asked] if told else None)
-        model.learn_mix(asked, held)
+        model.learn_mix(held)
         slot[asked[held]] = model.guessed[1][asked[held]]
         open_[asked[held]] = False
 
         other = (model.sureness[1] == 0) | (model.guessed[0] != model.guessed[1])
         asked = np.flatnonzero(open_ & other & (model.sureness[0] > 0))
-        cell = model.sureness[0][asked]
-        held = _chosen(coder, asked, _coded(model.alone[asked, cell]), slot[asked] == model.guessed[0][asked] if told else None)
-        _moved(model.alone, asked, cell, held)
+        cell = asked * (_SUREST + 1) + model.sureness[0][asked]
+        held = _chosen(coder, asked, _CODED.take(model.alone.take(cell)), slot[asked] == model.guessed[0][asked] if told else None)
+        _moved(model.alone, cell, held)
         slot[asked[held]] = model.guessed[0][asked[held]]
         open_[asked[held]] = False
 
         asked = np.flatnonzero(open_)
-        cell = (model.sureness[0][asked] > 0).astype(np.int64)
+        cell = asked * 2 + (model.sureness[0][asked] > 0)
         # The first id of a lane is new without saying so.
         sure = model.known[asked] == 0
         fresh = sure.copy()
         ask = asked[~sure]
         truth = slot[ask] == model.known[ask] if told else None
-        fresh[~sure] = _chosen(coder, ask, _coded(model.new[ask, cell[~sure]]), truth)
-        _moved(model.new, asked, cell, fresh)
+        fresh[~sure] = _chosen(coder, ask, _CODED.take(model.new.take(cell[~sure])), truth)
+        _moved(model.new, cell, fresh)
 
         old = asked[~fresh]
         if len(old):

@@ -66,6 +66,16 @@ def test_more_blocks_than_lanes(monkeypatch):
     assert np.array_equal(decode_ids(encode_ids(ids)), ids)
 
 
+def test_the_coded_bytes_stay_those_of_earlier_files():
+    i = np.arange(40_000, dtype=np.uint64)
+    mixed = (i * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
+    ids = np.where(mixed % np.uint64(3) == 0, mixed % np.uint64(50_000), (i * i) % np.uint64(700)).astype(np.uint32)
+    ids[::977] = (mixed[::977] << np.uint64(8)).astype(np.uint32)
+    coded = encode_ids(ids)
+    assert (len(coded), zlib.crc32(coded)) == (53_860, 1_117_466_144)
+    assert np.array_equal(decode_ids(coded), ids)
+
+
 def test_damage_is_found_and_blocks_are_independent():
     ids = RNG.integers(0, 300, 3 * BLOCK_IDS).astype(np.uint32)
     coded = bytearray(encode_ids(ids))
