@@ -6,11 +6,12 @@ import numpy as np
 import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from caselake.llm import rangecoder
-from caselake.llm.rangecoder import BLOCK_IDS, decode_ids, encode_ids, read_ids, write_ids
-from caselake.session import fresh_path
+from caselake.llm.rangecoder import BLOCK_IDS, decode_each, decode_ids, encode_each, encode_ids, read_ids, write_ids
+from caselake.session import fresh_path, settings
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 RNG = np.random.default_rng(0)
@@ -76,6 +77,17 @@ def test_the_coded_bytes_stay_those_of_earlier_files():
     assert np.array_equal(decode_ids(coded), ids)
 
 
+def test_blocks_of_many_chunks_go_side_by_side(monkeypatch):
+    runs, run = [], rangecoder._run
+    monkeypatch.setattr(rangecoder, "_run", lambda *args: runs.append(len(args[1])) or run(*args))
+    chunks = [np.minimum(RNG.zipf(1.3, n), 50_000).astype(np.uint32) for n in (3, 0, BLOCK_IDS, 700, 2 * BLOCK_IDS + 1)]
+    coded = encode_each(chunks)
+    assert all(np.array_equal(a, b) for a, b in zip(decode_each(coded), chunks, strict=True))
+    assert runs == [6, 6]
+    assert coded == [encode_ids(ids) for ids in chunks]
+    assert decode_each([]) == [] == encode_each([])
+
+
 def test_damage_is_found_and_blocks_are_independent():
     ids = RNG.integers(0, 300, 3 * BLOCK_IDS).astype(np.uint32)
     coded = bytearray(encode_ids(ids))
@@ -106,6 +118,21 @@ def test_files_give_back_every_document(spark, docs, clashing, monkeypatch):
             expected[r.doc_id].remove(bytes(r.ids))
 
 
+def test_small_ranges_share_a_task(spark):
+    """One step of the coder takes as long for one block as for many; 60 tasks of one block each were 60 runs."""
+    n, ranges, cores = 3000, 60, spark.sparkContext.defaultParallelism
+    df = spark.range(n).selectExpr("id * 7 % 3000 AS doc_id", "concat('a text of ', id) AS text")
+    path = fresh_path(spark, "ids")
+    with settings(spark, {"spark.sql.shuffle.partitions": str(ranges)}):
+        write_ids(df, path, PATH, 0)
+        found = sorted(read_ids(spark, path).collect(), key=lambda r: r.start)
+    files = spark.read.parquet(path)
+    assert files.select("part").distinct().count() == files.count() > cores
+    assert files.select(F.input_file_name()).distinct().count() <= cores
+    assert [r.doc_id for r in found] == list(range(n))
+    assert [r.start for r in found[1:]] == list(np.cumsum([r.n_tokens for r in found])[:-1])
+
+
 def test_no_documents(spark, no_docs):
     path = fresh_path(spark, "ids")
     write_ids(no_docs, path, PATH, 0)
